@@ -99,7 +99,8 @@ def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
     """
     lo = F.when(low == high, low - 0.5).otherwise(low)
     hi = F.when(low == high, high + 0.5).otherwise(high)
-    return F.least(F.floor((value - lo) / ((hi - lo) / bins)) + 1, F.lit(bins)).cast("int")
+    number = F.least(F.floor((value - lo) / ((hi - lo) / bins)) + 1, F.lit(bins)).cast("int")
+    return F.when(value.isNotNull(), number)  # least() alone would drop the NULL
 
 
 def histogram(df: DataFrame, cols: Sequence[str] = SENSORS, bins: int = 40) -> DataFrame:
