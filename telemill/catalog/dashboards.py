@@ -8,7 +8,7 @@ from telemill.catalog.base import (
     AS_OF, NOW, WITH_BOTH, WITH_PRED, WITH_RAW, WITH_VIEW, Query, now, predictions, r6, raw, tidy,
 )
 from telemill.operators import alerts
-from telemill.operators.clean import one_row
+from telemill.operators.clean import STATS, beside
 from telemill.operators.features import calendar_parts, zscores
 from telemill.plans import dashboard as d
 from telemill.sources.schema import SENSORS
@@ -156,10 +156,8 @@ FROM raw GROUP BY machine_id"""),
 
 
 def _centred(df):
-    stats = one_row(df.agg(
-        F.avg("temperature").alias("m"), F.min("temperature").alias("lo"), F.max("temperature").alias("hi")
-    ))
-    t = F.col("temperature")
-    return df.select(
+    ends = df.agg(F.avg("temperature").alias("m"), F.min("temperature").alias("lo"), F.max("temperature").alias("hi"))
+    t, stats = F.col("temperature"), F.col(STATS)
+    return beside(df, ends).select(
         "event_id", (t - stats["m"]).alias("off_mean"), ((t - stats["lo"]) / (stats["hi"] - stats["lo"])).alias("min_max")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemill.functions.numbers import ratio_or_zero
-from telemill.operators.clean import one_row
+from telemill.operators.clean import STATS, beside
 from telemill.operators.ordered import ROWS_PER_BUCKET, running_totals
 
 
@@ -95,9 +95,9 @@ def roc_curve(
 ) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, from the strictest down."""
     counts = _by_score(df, label, score)
-    totals = one_row(counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")))
+    totals = F.col(STATS)
     ranked = running_totals(counts, ["pos", "neg"], ["_neg"], rows_per_bucket)
-    return ranked.select(
+    return beside(ranked, counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).select(
         (-F.col("_neg")).alias("threshold"),
         ratio_or_zero(F.col("neg_before") + F.col("neg"), totals["n"]).alias("fpr"),
         ratio_or_zero(F.col("pos_before") + F.col("pos"), totals["p"]).alias("tpr"),

@@ -11,13 +11,17 @@ from telemill.operators.ordered import forward_fill
 from telemill.sources.schema import LABEL, SENSOR_RANGES, SENSORS, numeric_columns
 
 
-def one_row(stats: DataFrame) -> Column:
-    """A one-row aggregate as a struct column of the outer query.
+STATS = "_stats"
 
-    Spark runs it once as a scalar subquery and inlines the values, so no join
-    and no driver round trip is needed.
+
+def beside(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """Every row with a one-row aggregate as the struct column ``_stats``.
+
+    Spark runs the aggregate once, as a scalar subquery, and hands the values to
+    the rows' own stage: no join, no shuffle and no driver round trip. Callers
+    select their output columns, which drops the struct.
     """
-    return stats.select(F.struct("*").alias("s")).scalar()
+    return df.withColumn(STATS, stats.select(F.struct("*").alias("s")).scalar())
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
@@ -35,8 +39,10 @@ def clean(df: DataFrame, order: Sequence[str] = ("timestamp", "event_id"), **opt
 
 
 def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    means = one_row(df.agg(*[F.avg(c).alias(c) for c in cols]))
-    return df.select([F.coalesce(F.col(c), means[c]).alias(c) if c in cols else F.col(c) for c in df.columns])
+    means = F.col(STATS)
+    return beside(df, df.agg(*[F.avg(c).alias(c) for c in cols])).select(
+        [F.coalesce(F.col(c), means[c]).alias(c) if c in cols else F.col(c) for c in df.columns]
+    )
 
 
 def impute_constant(df: DataFrame, cols: Sequence[str] = SENSORS, value: float = 0.0) -> DataFrame:
@@ -58,13 +64,18 @@ def anomalies(df: DataFrame) -> DataFrame:
     return df.filter(F.col("is_anomaly"))
 
 
+def mean_and_std(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: ``<col>_mean`` and the sample deviation ``<col>_std``."""
+    return df.agg(
+        *[F.avg(c).alias(f"{c}_mean") for c in cols], *[F.stddev_samp(c).alias(f"{c}_std") for c in cols]
+    )
+
+
 def standardise(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(x - mean) / sample std for every numeric column; NULL where the std is 0."""
     cols = list(cols or numeric_columns(df))
-    stats = one_row(df.agg(
-        *[F.avg(c).alias(f"{c}_mean") for c in cols], *[F.stddev_samp(c).alias(f"{c}_std") for c in cols]
-    ))
-    return df.select([
+    stats = F.col(STATS)
+    return beside(df, mean_and_std(df, cols)).select([
         F.try_divide(F.col(c) - stats[f"{c}_mean"], stats[f"{c}_std"]).alias(c) if c in cols else F.col(c)
         for c in df.columns
     ])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemill.operators.clean import one_row
+from telemill.operators.clean import STATS, beside, mean_and_std
 from telemill.operators.ordered import ROWS_PER_BUCKET, over_preceding
 from telemill.sources.schema import NOT_MEASURED, numeric_columns
 
@@ -42,15 +42,13 @@ def zscores(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     A zero deviation counts as 1e-9; an undefined one gives NULL.
     """
-    stats = one_row(df.agg(
-        *[F.avg(c).alias(f"{c}_mean") for c in cols], *[F.stddev_samp(c).alias(f"{c}_std") for c in cols]
-    ))
+    stats = F.col(STATS)
 
     def z(c: str) -> Column:
         std = stats[f"{c}_std"]
         return (F.col(c) - stats[f"{c}_mean"]) / F.when(std == 0, F.lit(1e-9)).otherwise(std)
 
-    return df.withColumns({f"{c}_zscore": z(c) for c in cols})
+    return beside(df, mean_and_std(df, cols)).withColumns({f"{c}_zscore": z(c) for c in cols}).drop(STATS)
 
 
 def outlier_flags(df: DataFrame, cols: Sequence[str], threshold: float = 3.0) -> DataFrame:

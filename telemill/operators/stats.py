@@ -11,7 +11,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemill.operators.clean import one_row
+from telemill.operators.clean import STATS, beside
 from telemill.operators.ordered import exact_quantiles, micros
 from telemill.sources.schema import LABEL, SENSORS
 
@@ -105,7 +105,8 @@ def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 def histogram(df: DataFrame, cols: Sequence[str] = SENSORS, bins: int = 40) -> DataFrame:
     """Non-empty bins of each column: bin number, edges and count."""
-    ends = one_row(df.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]))
+    ranges = df.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols])
+    ends = F.col(STATS)
     cells = F.array(*[
         F.struct(
             F.lit(c).alias("feature"), ends[f"lo_{c}"].cast("double").alias("lo"), ends[f"hi_{c}"].cast("double").alias("hi"),
@@ -113,7 +114,7 @@ def histogram(df: DataFrame, cols: Sequence[str] = SENSORS, bins: int = 40) -> D
         ) for c in cols
     ])
     counted = (
-        df.select(F.explode(cells).alias("c")).select("c.*").filter("bin IS NOT NULL")
+        beside(df, ranges).select(F.explode(cells).alias("c")).select("c.*").filter("bin IS NOT NULL")
         .groupBy("feature", "lo", "hi", "bin").agg(F.count("*").alias("n"))
     )
     return _edges(counted, ["feature"], bins)

@@ -115,6 +115,7 @@ def _newest_joined(predictions: DataFrame, readings: DataFrame, k: int) -> DataF
     and read the readings once without a shuffle.
     """
     order = [F.desc("prediction_time"), "machine_id", "anomaly_score", "confidence", "is_anomaly"]
+    ties = ["_id", *[F.asc_nulls_last(c) for c in SENSORS]]
     wanted = ["machine_id", "prediction_time", "is_anomaly", "anomaly_score", "confidence"]
     top = (
         predictions.withColumn("prediction_time", F.col("timestamp")).select(*wanted, micros(predictions, "timestamp").alias("_us"))
@@ -132,9 +133,9 @@ def _newest_joined(predictions: DataFrame, readings: DataFrame, k: int) -> DataF
         F.broadcast(probes),
         (F.col("machine_id") == F.col("_rk")) & (F.col("_bk") == F.col("_rbk"))
         & F.col("_us").between(F.col("_rus") - tol, F.col("_rus") + tol),
-    ).select("_id", *wanted, *SENSORS).orderBy(*order, "_id", *SENSORS).limit(k)
+    ).select("_id", *wanted, *SENSORS).orderBy(*order, *ties).limit(k)
     return top.select("_id", *wanted).join(F.broadcast(matched.select("_id", *SENSORS)), "_id", "left").orderBy(
-        *order, "_id", *SENSORS
+        *order, *ties
     ).limit(k)
 
 

@@ -69,3 +69,14 @@ def checkpointed(df):
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def kept(df):
+    """A checkpointed copy for data that several jobs read.
+
+    Input of fewer partitions than cores is dealt out first, which only small
+    tables need.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    df = checkpointed(df)
+    return df if df.rdd.getNumPartitions() >= cores else checkpointed(df.repartition(cores))
