@@ -38,7 +38,7 @@ def _events_24h(s, p):
 
 
 def _nearest(s, p):
-    return tidy(d.prediction_view(predictions(s, p), raw(s, p), nearest=True, tie="event_id"))
+    return tidy(d.prediction_view(predictions(s, p), raw(s, p), how_many="nearest"))
 
 
 _SENSOR_LIST = ", ".join(SENSORS)

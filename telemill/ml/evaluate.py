@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from telemill.functions.numbers import ratio_or_zero
 from telemill.operators.clean import STATS, beside
 from telemill.operators.ordered import ROWS_PER_BUCKET, running_totals
+from telemill.session import checkpointed
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -69,12 +70,16 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
 
 
 def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Counts per distinct score, sorted descending by ``_neg`` = -score."""
-    return (
+    """Counts per distinct score, ordered by ``_neg`` = -score.
+
+    Kept in the shared folder, because the running totals read them several times.
+    """
+    counts = (
         df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy((-F.col(score)).alias("_neg"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
+    return checkpointed(counts)
 
 
 def roc_auc(

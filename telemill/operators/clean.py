@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemill.operators.ordered import forward_fill
+from telemill.session import checkpointed
 from telemill.sources.schema import LABEL, SENSOR_RANGES, SENSORS, numeric_columns
 
 
@@ -34,8 +35,11 @@ def drop_copies(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame
 
 
 def clean(df: DataFrame, order: Sequence[str] = ("timestamp", "event_id"), **options) -> DataFrame:
-    """Drop copies, then carry the last known values forward."""
-    return forward_fill(drop_copies(df), order=order, **options)
+    """Drop copies, then carry the last known values forward.
+
+    The fill reads its input several times, so the distinct rows are kept.
+    """
+    return forward_fill(checkpointed(drop_copies(df)), order=order, **options)
 
 
 def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:

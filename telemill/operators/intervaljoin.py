@@ -41,32 +41,26 @@ def _salts(hot: dict[int, int], rows_per_salt: int) -> Column:
 
 def interval_join(
     left: DataFrame, right: DataFrame, right_cols: Sequence[str], key: str = "machine_id",
-    ts: str = "timestamp", tolerance_s: int = TOLERANCE_S, nearest: bool = False,
-    tie: str | None = None, hot_rows: int = HOT_ROWS, rows_per_salt: int = ROWS_PER_SALT,
+    ts: str = "timestamp", tolerance_s: int = TOLERANCE_S, hot_rows: int = HOT_ROWS, rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Left rows with every right row of the same key within the tolerance.
 
     Both ends are inclusive; a left row without a match appears once with NULLs.
     Time buckets of twice the tolerance keep the equi-join groups small: a left
     row sits in its own bucket, a right row in the one or two buckets it can
-    reach, so each pair meets exactly once. ``nearest`` keeps only the closest
-    match of each left row (ties: the smallest ``tie`` value).
+    reach, so each pair meets exactly once.
     """
     tol, width = tolerance_s * SECOND, 2 * tolerance_s * SECOND
     left_cols = list(left.columns)
     lt = left.withColumn("_us", micros(left, ts)).withColumn("_bk", F.floor(F.col("_us") / width))
-    if nearest:
-        lt = lt.withColumn("_lid", F.monotonically_increasing_id())
-    wanted = list(dict.fromkeys([*right_cols, *([tie] if tie else [])]))
     reach = F.array_distinct(F.array(F.floor((F.col("_rus") - tol) / width), F.floor((F.col("_rus") + tol) / width)))
     rt = (
         right.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-        .select(F.col(key).alias("_rk"), micros(right, ts).alias("_rus"), *[F.col(c).alias(f"_r_{c}") for c in wanted])
+        .select(F.col(key).alias("_rk"), micros(right, ts).alias("_rus"), *[F.col(c).alias(f"_r_{c}") for c in right_cols])
         .withColumn("_rbk", F.explode(reach))
     )
     near = F.col("_us").between(F.col("_rus") - tol, F.col("_rus") + tol)
     equal = (F.col(key) == F.col("_rk")) & (F.col("_bk") == F.col("_rbk"))
-    pair_out = [F.col(f"_r_{c}").alias(c) for c in wanted]
 
     hot_left = _hot_buckets(lt.select(F.xxhash64(key, "_bk").alias("_hash")), hot_rows)
     hot_right = _hot_buckets(rt.select(F.xxhash64("_rk", "_rbk").alias("_hash")), hot_rows)
@@ -74,18 +68,7 @@ def interval_join(
         joined = lt.join(rt, equal & near, "left")
     else:
         joined = _salted(lt, rt, key, equal, near, hot_left, hot_right, rows_per_salt)
-    kept = [F.col(c) for c in left_cols]
-    if not nearest:
-        return joined.select(*kept, *[F.col(f"_r_{c}").alias(c) for c in right_cols])
-    # One row per left row: the smallest (distance, tie), found by an aggregate
-    # that combines on the map side, so a row with many matches stays cheap.
-    best = F.struct(
-        F.abs(F.col("_us") - F.col("_rus")).alias("gap"),
-        *([F.col(f"_r_{tie}").alias("tie")] if tie else []),
-        F.struct(*pair_out).alias("row"),
-    )
-    closest = joined.groupBy("_lid", *left_cols).agg(F.min(F.when(F.col("_rus").isNotNull(), best)).alias("_best"))
-    return closest.select(*kept, *[F.col(f"_best.row.{c}").alias(c) for c in right_cols])
+    return joined.select(*left_cols, *[F.col(f"_r_{c}").alias(c) for c in right_cols])
 
 
 def _salted(
@@ -128,6 +111,46 @@ def _salted(
     return cold.unionByName(matched).unionByName(lonely, allowMissingColumns=True)
 
 
+def nearest_join(
+    left: DataFrame, right: DataFrame, right_cols: Sequence[str], tie: str, key: str = "machine_id",
+    ts: str = "timestamp", tolerance_s: int = TOLERANCE_S, block_s: int = 60,
+) -> DataFrame:
+    """Left rows with the closest right row in range, or NULLs (ties: smallest ``tie``).
+
+    No pairs are built. Both sides shrink to distinct times; within a time block
+    the last right row at or before, and the first at or after, come from two
+    running windows over the same shuffle.
+    """
+    tol, width = tolerance_s * SECOND, block_s * SECOND
+    own = F.floor(F.col("_us") / width)
+    timed = left.withColumns({"_us": micros(left, ts), "_key": F.col(key)})
+    asked = timed.filter("_us IS NOT NULL AND _key IS NOT NULL").select("_key", "_us").distinct()
+    reach = F.array_distinct(F.array(own, F.floor((F.col("_us") - tol) / width), F.floor((F.col("_us") + tol) / width)))
+    answer = F.struct(F.col("_us").alias("us"), F.col(tie).alias("tie"), F.struct(*right_cols).alias("row"))
+    offered = (
+        right.withColumns({"_us": micros(right, ts), "_key": F.col(key)})
+        .filter("_us IS NOT NULL AND _key IS NOT NULL")
+        .groupBy("_key", "_us").agg(F.min(answer).alias("_right"))
+        .withColumn("_blk", F.explode(reach))
+    )
+    both = asked.withColumn("_blk", own).unionByName(offered, allowMissingColumns=True)
+    spec = Window.partitionBy("_key", "_blk").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (
+        both.withColumn("_before", F.last("_right", ignorenulls=True).over(spec.orderBy("_us")))
+        .withColumn("_after", F.last("_right", ignorenulls=True).over(spec.orderBy(F.desc("_us"))))
+        .filter("_right IS NULL")
+    )
+
+    def candidate(name: str) -> Column:
+        gap = F.abs(F.col("_us") - F.col(f"{name}.us"))
+        ranked = F.struct(gap.alias("gap"), F.col(f"{name}.tie").alias("tie"), F.col(f"{name}.row").alias("row"))
+        return F.when(gap <= tol, ranked)
+
+    best = found.select(F.col("_key").alias("_k"), F.col("_us").alias("_u"), F.least(candidate("_before"), candidate("_after")).alias("_best"))
+    matched = timed.join(best, (F.col("_key") == F.col("_k")) & (F.col("_us") == F.col("_u")), "left")
+    return matched.select(*left.columns, *[F.col(f"_best.row.{c}").alias(c) for c in right_cols])
+
+
 def nearby_sums(
     rows: DataFrame, sums: Sequence[str], key: str = "machine_id", us: str = "us",
     tolerance_s: int = TOLERANCE_S, block_s: int = 60,

@@ -20,8 +20,10 @@ from pyspark.sql import types as T
 
 from telemill.session import checkpointed
 
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 100_000
+BUCKETS_PER_PARTITION = 16
+LEAST_ROWS = 25_000
 SAMPLE_PER_BUCKET = 20
 _LAST = sys.float_info.max
 _BEFORE_LAST = 1.0e308
@@ -86,9 +88,12 @@ def bucketed(
     """
     order = list(order)
     total = df.count()
-    wanted = min(MAX_BUCKETS, -(-total // rows_per_bucket))
+    wanted = -(-total // rows_per_bucket)
     if wanted <= 1:
         return df.withColumn(out, F.lit(0).cast("long")), order, 1
+    # Buckets are hashed to shuffle partitions: several per partition even out.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_BUCKETS, max(wanted, min(BUCKETS_PER_PARTITION * parts, total // LEAST_ROWS)))
     numbers = [f"_o{i}" for i in range(len(order))]
     fraction = min(1.0, SAMPLE_PER_BUCKET * wanted / total)
     sample = df.select([_as_number(df, c).alias(n) for c, n in zip(order, numbers)]).sample(fraction, seed=11)

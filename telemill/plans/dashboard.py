@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from telemill.functions.clock import minutes_between, recent, shift
 from telemill.functions.levels import alert_status, score_severity, temperature_status
 from telemill.functions.numbers import one_if, percent, ratio, ratio_or_zero, sum_if
-from telemill.operators.intervaljoin import SECOND, TOLERANCE_S, interval_join, nearby_sums
+from telemill.operators.intervaljoin import SECOND, TOLERANCE_S, interval_join, nearby_sums, nearest_join
 from telemill.operators.ordered import micros
 from telemill.sources.schema import DASHBOARD_COLUMNS, LABEL, SENSORS
 
@@ -41,9 +41,14 @@ def events_24h(processed: DataFrame, as_of: Column, strict: bool = False) -> Dat
     )
 
 
-def prediction_view(predictions: DataFrame, readings: DataFrame, nearest: bool = False, tie: str | None = None, **tuning) -> DataFrame:
-    """Predictions with the readings within five seconds of them."""
-    joined = interval_join(predictions, readings, list(SENSORS), nearest=nearest, tie=tie, **tuning)
+def prediction_view(
+    predictions: DataFrame, readings: DataFrame, how_many: str = "all", tie: str = "event_id", **tuning
+) -> DataFrame:
+    """Predictions with the readings within five seconds, all of them or the nearest."""
+    if how_many == "nearest":
+        joined = nearest_join(predictions, readings, list(SENSORS), tie)
+    else:
+        joined = interval_join(predictions, readings, list(SENSORS), **tuning)
     return joined.select(
         "machine_id", F.col("timestamp").alias("prediction_time"), "is_anomaly", "anomaly_score", "confidence", *SENSORS,
         F.to_date("timestamp").alias("prediction_date"), F.hour("timestamp").alias("prediction_hour"),

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from telemill.catalog import ALL
-from telemill.operators.intervaljoin import _hot_buckets, interval_join
+from telemill.operators.intervaljoin import _hot_buckets, interval_join, nearest_join
 from telemill.operators.ordered import micros
 from telemill.plans import dashboard as d
 from telemill.sources.schema import SENSORS
@@ -92,8 +92,9 @@ def test_both_ends_are_inclusive(spark):
 def test_null_keys_match_nothing_and_stay(spark):
     p = spark.createDataFrame([(None, T0), ("M", None), ("M", T0)], "machine_id string, timestamp timestamp")
     e = spark.createDataFrame([(None, T0, 1), ("M", None, 2), ("M", T0, 3)], "machine_id string, timestamp timestamp, o long")
-    rows = interval_join(p, e, ["o"]).collect()
-    assert len(rows) == 3 and [r["o"] for r in rows if r["o"]] == [3]
+    for joined in (interval_join(p, e, ["o"]), nearest_join(p, e, ["o"], "o")):
+        rows = joined.collect()
+        assert len(rows) == 3 and [r["o"] for r in rows if r["o"]] == [3]
 
 
 def test_nearest(spark):
@@ -101,8 +102,8 @@ def test_nearest(spark):
     a, both = brute(p, e)
     both["gap"] = (both["timestamp"] - both["timestamp_e"]).abs()
     best = both.sort_values(["gap", "event_id"]).groupby("lid").first()["event_id"]
-    for tuning in ({}, {"hot_rows": 10, "rows_per_salt": 7}):
-        got = interval_join(p, e, ["event_id"], nearest=True, tie="event_id", **tuning).collect()
+    for block in (10, 60):
+        got = nearest_join(p, e, ["event_id"], "event_id", block_s=block).collect()
         assert len(got) == len(a)
         assert sorted(r["event_id"] for r in got if r["event_id"]) == sorted(best)
 
