@@ -58,7 +58,7 @@ def _json_round_trip(s, p):
 
 def _compacted(s, p):
     path = scratch(s, "compact")
-    io.compact(raw(s, p), path, files=4)
+    io.compact(raw(s, p), path, rows_per_file=2500)
     return tidy(io.read_table(s, path).select(*_COLUMNS, "event_date"))
 
 

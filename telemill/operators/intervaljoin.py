@@ -17,8 +17,8 @@ from telemill.operators.ordered import micros
 
 SECOND = 1_000_000
 TOLERANCE_S = 5
-HOT_ROWS = 2_000_000
-ROWS_PER_SALT = 500_000
+HOT_ROWS = 200_000
+ROWS_PER_SALT = 50_000
 
 
 def _hot_buckets(hashed: DataFrame, at_least: int) -> dict[int, int]:

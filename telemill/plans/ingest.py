@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telemill.functions.clock import event_key
 from telemill.operators.clean import drop_copies
 from telemill.operators.features import enrich
 from telemill.sources.schema import EVENT_SCHEMA, PARTITION, align, nan_to_null
@@ -32,24 +33,44 @@ def not_yet_stored(events: DataFrame, path: str, margin_days: int = 1) -> DataFr
     stored = table_or_none(events.sparkSession, path)
     if stored is None:
         return events
+    undated = F.col(PARTITION).isNull()
     dates = events.agg(F.min(PARTITION).alias("lo"), F.max(PARTITION).alias("hi")).first()
     if dates["lo"] is not None:
-        stored = stored.filter(F.col(PARTITION).between(
+        stored = stored.filter(undated | F.col(PARTITION).between(
             F.date_sub(F.lit(dates["lo"]), margin_days), F.date_add(F.lit(dates["hi"]), margin_days)
         ))
     return events.join(stored.select("event_id"), "event_id", "left_anti")
 
 
+def with_event_id(events: DataFrame) -> DataFrame:
+    """Events without an id get the usual one, machine and epoch milliseconds;
+    those without a machine or time get a hash of their content."""
+    usual = F.when(
+        F.col("machine_id").isNotNull() & F.col("timestamp").isNotNull(), event_key(F.col("machine_id"), F.col("timestamp"))
+    )
+    content = F.sha2(F.to_json(F.struct(*events.columns)), 256)
+    return events.withColumn("event_id", F.coalesce(F.col("event_id"), usual, content))
+
+
+def quarantine(lines: DataFrame, path: str) -> None:
+    """Keep each distinct bad line once, also when a batch is repeated."""
+    lines = drop_copies(lines)
+    stored = table_or_none(lines.sparkSession, path)
+    if stored is not None:
+        lines = lines.join(stored.select("line"), "line", "left_anti")
+    write_table(with_event_date(lines), path)
+
+
 def load_lines(lines: DataFrame, root: str, schema: T.StructType = EVENT_SCHEMA) -> None:
     """Land JSON lines in the raw table, each event once; bad lines are kept apart."""
     good, bad = split_corrupt(decode_events(lines, schema))
-    write_table(with_event_date(bad), f"{root}/{QUARANTINE}")
-    events = drop_copies(with_event_date(nan_to_null(good)), ["event_id"])
+    quarantine(bad, f"{root}/{QUARANTINE}")
+    events = drop_copies(with_event_date(with_event_id(nan_to_null(good))), ["event_id"])
     write_table(not_yet_stored(events, f"{root}/{RAW}"), f"{root}/{RAW}")
 
 
 def load_csv(spark: SparkSession, path: str, root: str, schema: T.StructType = EVENT_SCHEMA) -> None:
-    events = drop_copies(with_event_date(align(read_csv(spark, path, schema), schema)), ["event_id"])
+    events = drop_copies(with_event_date(with_event_id(align(read_csv(spark, path, schema), schema))), ["event_id"])
     write_table(not_yet_stored(events, f"{root}/{RAW}"), f"{root}/{RAW}")
 
 

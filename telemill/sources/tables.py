@@ -114,9 +114,8 @@ def require_rows(df: DataFrame, at_least: int = 1) -> DataFrame:
 
 # --- compaction -------------------------------------------------------------
 
-def _string_rank(df: DataFrame, col: str, bits: int, sample_rows: int) -> Column:
+def _string_rank(df: DataFrame, col: str, bits: int, total: int, sample_rows: int) -> Column:
     """Order-preserving bucket of a string column: how many sampled cut values are <= it."""
-    total = df.count()
     fraction = min(1.0, sample_rows / max(total, 1))
     names = sorted(r[0] for r in df.select(col).sample(fraction, seed=7).dropna().collect())
     cuts = sorted({names[len(names) * i // (1 << bits)] for i in range(1, 1 << bits)}) if names else []
@@ -137,7 +136,7 @@ def _interleave(high: Column, low: Column, bits: int) -> Column:
 
 
 def compact(
-    df: DataFrame, path: str, files: int = 8, bits: int = 4,
+    df: DataFrame, path: str, rows_per_file: int = 5_000_000, bits: int = 4,
     machine: str = "machine_id", ts: str = "timestamp", tie: str = "event_id", sample_rows: int = 20_000,
 ) -> None:
     """Rewrite a table clustered on (machine, time) within each date.
@@ -150,8 +149,10 @@ def compact(
     day_us = 86_400_000_000
     if PARTITION not in df.columns:
         df = with_event_date(df)
+    total = df.count()
+    files = max(1, -(-total // rows_per_file))
     slot = F.floor((micros(df, ts) % day_us) * (1 << bits) / day_us).cast("int")
-    z = _interleave(_string_rank(df, machine, bits, sample_rows), slot, bits)
+    z = _interleave(_string_rank(df, machine, bits, total, sample_rows), slot, bits)
     (
         df.withColumn("_z", z)
         .repartitionByRange(files, PARTITION, "_z", ts, tie)

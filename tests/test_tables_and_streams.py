@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from telemill.catalog.base import predictions, raw
+from telemill.functions import clock
 from telemill.ml.forest import ForestParams, fit
 from telemill.operators.intervaljoin import interval_join
 from telemill.plans import ingest
@@ -72,7 +73,7 @@ def test_validation(spark):
 def test_compaction_narrows_files(spark, sf_dir):
     path = scratch(spark, "c")
     df = raw(spark, sf_dir)
-    io.compact(df, path, files=8)
+    io.compact(df, path, rows_per_file=1000)
     back = io.read_table(spark, path)
     assert back.select(df.columns).exceptAll(df).count() == 0 and back.count() == df.count()
 
@@ -88,6 +89,29 @@ def test_load_twice_is_the_same_as_once(spark):
         ingest.refresh_processed(spark, root, at_least=151)
 
 
+def test_events_without_an_id_are_all_kept(spark):
+    root = scratch(spark, "load")
+    bare = ['{"machine_id":"M1","timestamp":"2024-01-01T00:00:01Z"}', '{"machine_id":"M1","timestamp":"2024-01-01T00:00:02Z"}',
+            '{"temperature":1.5}', '{"temperature":2.5}']
+    df = spark.createDataFrame([(v,) for v in [*bare, bare[0], bare[2], "{bad", "{bad"]], "value string")
+    for _ in range(2):
+        ingest.load_lines(df, root)
+    ids = sorted(r["event_id"] for r in io.read_table(spark, f"{root}/{ingest.RAW}").collect())
+    assert len(ids) == 4 and "M1_1704067201000" in ids
+    assert io.read_table(spark, f"{root}/{ingest.QUARANTINE}").count() == 1
+
+
+def test_recent_skips_whole_dates(spark):
+    path = scratch(spark, "t")
+    for day in (1, 2, 3):
+        io.write_table(events(spark, 20, day=day), path)
+    now = F.lit("2024-01-03 00:10:00").cast("timestamp")
+    recent = io.read_table(spark, path).filter(clock.recent("timestamp", now, 1, "HOUR"))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-02" in plan
+    assert recent.count() == 20
+
+
 def arrive(df, path, parts):
     """Write the rows in time order, a file group at a time."""
     df = df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
