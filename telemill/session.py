@@ -71,12 +71,16 @@ def checkpointed(df):
     return df.checkpoint(eager=True)
 
 
-def kept(df):
+def kept(df, rows_per_part: int = 20_000):
     """A checkpointed copy for data that several jobs read.
 
-    Input of fewer partitions than cores is dealt out first, which only small
-    tables need.
+    Data in fewer partitions than cores (one small file, say) is dealt out, as
+    far as each partition still gets a fair number of rows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
     df = checkpointed(df)
-    return df if df.rdd.getNumPartitions() >= cores else checkpointed(df.repartition(cores))
+    parts = df.rdd.getNumPartitions()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if parts >= cores:
+        return df
+    wanted = min(cores, df.count() // rows_per_part)
+    return checkpointed(df.repartition(wanted)) if wanted > parts else df
