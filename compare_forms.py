@@ -68,7 +68,8 @@ def main() -> None:
         df.groupby([df["timestamp"].dt.floor("h"), "machine_id"])["is_anomaly"].agg(["size", "sum"])
 
     def naive_statistics():
-        sink(naive_join(p, e).groupBy("machine_id").agg(F.avg("temperature"), F.stddev_samp("temperature"), F.count("*")))
+        week = p.filter(F.col("timestamp") >= F.date_trunc("day", now()) - F.expr("INTERVAL 7 DAYS"))
+        sink(naive_join(week, e).groupBy("machine_id").agg(F.avg("temperature"), F.stddev_samp("temperature"), F.count("*")))
 
     spec = by_time.rowsBetween(-9, 0)
     comparisons = {

@@ -49,7 +49,8 @@ def _readings(spark, sf_dir):
 
 def _finish(spark, stream, name):
     out = scratch(spark, name)
-    st.to_table(stream, out, scratch(spark, "progress")).awaitTermination()
+    parts = spark.sparkContext.defaultParallelism
+    st.to_table(stream, out, scratch(spark, "progress"), state_partitions=parts).awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 

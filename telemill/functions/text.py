@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Severity -> card colour.
+# Wording of cards and mails, and severity -> card colour.
+ANOMALY_TITLE = "Machine Sensor Anomaly Detected"
+SUMMARY_TITLE = "Sensor Monitoring Summary"
+CLOSING_LINE = "Please investigate the affected machine immediately."
 CARD_COLOURS = {"info": "0078D7", "warning": "FFA500", "critical": "D40000"}
 
 
@@ -67,11 +70,11 @@ def sensor_rows_html(sensors: Sequence[str]) -> Column:
 def alert_html(machine: Column, score: Column, at: Column, sensors: Sequence[str]) -> Column:
     """Mail body for one anomaly."""
     return F.concat(
-        F.lit('<html><body><h2 style="color:#D40000">Machine Sensor Anomaly Detected</h2>'),
+        F.lit(f'<html><body><h2 style="color:#{CARD_COLOURS["critical"]}">{ANOMALY_TITLE}</h2>'),
         F.lit("<p><strong>Machine ID:</strong> "), machine, F.lit("</p>"),
         F.lit("<p><strong>Time:</strong> "), F.date_format(at, "yyyy-MM-dd HH:mm:ss 'UTC'"), F.lit("</p>"),
         F.lit("<p><strong>Anomaly Score:</strong> "), fixed(score, 4), F.lit("</p>"),
         F.lit('<h3>Sensor Readings:</h3><table border="1" cellpadding="5"><tr><th>Sensor</th><th>Value</th></tr>'),
         sensor_rows_html(sensors),
-        F.lit("</table><p>Please investigate the affected machine immediately.</p></body></html>"),
+        F.lit(f"</table><p>{CLOSING_LINE}</p></body></html>"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from telemill.functions.levels import rate_severity, rate_status, score_severity
 from telemill.functions.numbers import ratio
-from telemill.functions.text import alert_html, card, fact, fixed, percent_text, sensor_facts
+from telemill.functions.text import ANOMALY_TITLE, SUMMARY_TITLE, alert_html, card, fact, fixed, percent_text, sensor_facts
 from telemill.operators.stats import long_form
 from telemill.sources.schema import SENSORS
 
@@ -131,7 +131,7 @@ def period_summaries(
         fact("Status", F.col("status")),
     ]
     payload = card(
-        "Sensor Monitoring Summary", F.concat(F.lit("Anomaly rate: "), percent_text(F.col("rate"))), facts,
+        SUMMARY_TITLE, F.concat(F.lit("Anomaly rate: "), percent_text(F.col("rate"))), facts,
         F.col("severity"), F.col("w.end"),
     )
     return rows.select(
@@ -149,7 +149,7 @@ def anomaly_alerts(joined: DataFrame, sensors: Sequence[str] = SENSORS, ts: str
     ]
     level = F.when(F.col("severity") == "CRITICAL", "critical").when(F.col("severity") == "WARNING", "warning").otherwise("info")
     payload = card(
-        "Machine Sensor Anomaly Detected", F.concat(F.lit("Anomaly detected on "), F.col("machine_id")), facts, level, F.col(ts)
+        ANOMALY_TITLE, F.concat(F.lit("Anomaly detected on "), F.col("machine_id")), facts, level, F.col(ts)
     )
     return rows.select(
         "machine_id", ts, "anomaly_score", *sensors, "severity", payload.alias("payload"),

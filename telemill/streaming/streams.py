@@ -55,12 +55,24 @@ def _start(writer, available_now: bool, interval: str) -> StreamingQuery:
 
 def to_table(
     df: DataFrame, path: str, checkpoint: str, partition: str | None = None, available_now: bool = True,
-    interval: str = "1 minute",
+    interval: str = "1 minute", state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Append a stream's finished rows to a Parquet table, exactly once."""
-    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    """Append a stream's finished rows to a Parquet table, exactly once.
+
+    ``state_partitions`` is fixed with the first start; the session's shuffle
+    partitions apply when it is not given.
+    """
+    conf = df.sparkSession.conf
+    if not df.sparkSession.sparkContext.master.startswith("local"):
+        conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)  # state beyond the heap
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).option("path", path)
-    return _start(writer.partitionBy(partition) if partition else writer, available_now, interval)
+    # A started query keeps its own copy of the settings.
+    usual = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions or usual))
+    try:
+        return _start(writer.partitionBy(partition) if partition else writer, available_now, interval)
+    finally:
+        conf.set("spark.sql.shuffle.partitions", usual)
 
 
 def each_batch(df: DataFrame, work, checkpoint: str, available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:
