@@ -49,15 +49,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session may run without that setting; it then gets a
     temporary folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="telemill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="telemill-"))
+    return context.getCheckpointDir()
 
 
 def scratch(spark: SparkSession, name: str) -> str:

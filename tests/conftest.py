@@ -13,8 +13,8 @@ SF_DIR = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session()
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    if session.sparkContext.getCheckpointDir() is None:
+        session.sparkContext.setCheckpointDir(session.conf.get("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))))
     return session
 
 
