@@ -31,7 +31,7 @@ from telemill.llm.common import arrow_map, spark_schema, stored, strings, texts
 
 CAPACITY = 2048
 END = struct.pack("<I", 0)
-ROWS_PER_SALT = 50_000
+ROWS_PER_SALT = 500
 CACHE = 500_000  # encoded segments kept per worker
 # Unicode white space (fixed values). A text may be cut before white space that follows other
 # characters: no pre-token of the byte-level pattern spans such a place.
@@ -181,9 +181,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool = False, id_c
         by_length.setdefault(length, []).append((lo, hi, first, each, offset))
     schema = "length long, entries array<struct<lo: long, hi: long, first: long, each: long, at: long>>"
     places = spark.createDataFrame(list(by_length.items()), spark_schema(schema))
+    salts = spark.createDataFrame([(n, -(-c // ROWS_PER_SALT)) for n, c in histogram.items()], "length long, salts long")
 
-    salts = -(-sum(histogram.values()) // ROWS_PER_SALT) or 1
-    cut = cut.withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(salts)))
+    cut = cut.join(F.broadcast(salts), "length").withColumn("__salt", F.pmod(F.xxhash64("__row"), F.col("salts"))).drop("salts")
     groups = cut.groupBy("length", "__salt").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1))
     groups = groups.select("length", "__salt", F.coalesce(before, F.lit(0)).alias("__base"))
