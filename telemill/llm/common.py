@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 # Words of lower-cased text: everything but ASCII characters other than 0-9 and a-z.
 PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+PLAIN_BYTES = rb"[0-9a-z\x80-\xff]+"  # the same words in lower-cased UTF-8
 LOWERED = str.maketrans(UPPER, LOWER)
 
 
@@ -79,3 +81,42 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def spread_join(big: DataFrame, small: DataFrame, on: list[str], deal: Column, how: str = "left", salts: int = 16) -> DataFrame:
+    """Equi-join whose large side may hold a third of its rows under one key: dealt over salts by ``deal``."""
+    each = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big.withColumn("__salt", F.pmod(F.xxhash64(deal), F.lit(salts)).cast("int")).join(each, [*on, "__salt"], how).drop("__salt")
+
+
+def bloom_slots(hashes, bits: int) -> list:
+    """Three slots of a Bloom filter per 64-bit hash."""
+    u = hashes.view(np.uint64)
+    return [((u >> np.uint64(s)) % np.uint64(bits)).astype(np.int64) for s in (0, 13, 31)]
+
+
+def bloom(hashes: DataFrame, bits: int) -> bytes:
+    """A Bloom filter over a DataFrame of one column of 64-bit hashes; ``bits`` bounds what reaches the driver."""
+
+    def work(batch):
+        bitmap = np.zeros(bits // 8, np.uint8)
+        for slots in bloom_slots(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), bits):
+            np.bitwise_or.at(bitmap, slots >> 3, (1 << (slots & 7)).astype(np.uint8))
+        used = np.flatnonzero(bitmap)
+        yield {"byte": used, "value": bitmap[used].astype(np.int32)}
+
+    # One row per 256 bytes of the filter, so that few rows travel to the driver.
+    parts = arrow_map(hashes, work, "byte long, value int").groupBy("byte").agg(F.bit_or("value").alias("value"))
+    pages = parts.groupBy(F.expr("byte div 256").alias("page")).agg(F.collect_list(F.struct("byte", "value")).alias("bytes"))
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for r in pages.collect():
+        for b in r["bytes"]:
+            bitmap[b["byte"]] = b["value"]
+    return bitmap.tobytes()
+
+
+def in_bloom(bitmap: bytes, hashes, bits: int):
+    bytes_, found = np.frombuffer(bitmap, np.uint8), np.ones(len(hashes), bool)
+    for slots in bloom_slots(hashes, bits):
+        found &= (bytes_[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+    return found

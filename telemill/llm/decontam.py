@@ -28,18 +28,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import LOWERED, PLAIN_WORD, arrow_map, stored, strings, texts
+from telemill.llm.common import PLAIN_BYTES, arrow_map, bloom, in_bloom, stored, strings, texts
 
 SPAN = 10  # words of a window
 GRAM = 5  # k: words of a fingerprint
 BLOOM_BITS = 1 << 23
 SALTS = 16
 CACHE = 500_000  # word hashes kept per worker
-_words = re.compile(PLAIN_WORD).findall
+_words = re.compile(PLAIN_BYTES).findall
 
 
 class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -50,7 +50,7 @@ _HASHES = _Hashes()
 
 
 def word_hashes(text: str) -> np.ndarray:
-    words = _words(text.translate(LOWERED) if not text.isascii() else text.lower())
+    words = _words(text.encode().lower())  # of bytes, only A-Z changes
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
@@ -100,11 +100,6 @@ def fingerprints(h: np.ndarray, span: int, k: int) -> Iterator[tuple[int, int, i
         yield int(g[at].astype(np.int64)), int(at), lo, words.tobytes()
 
 
-def bloom_slots(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
-    u = hashes.view(np.uint64)
-    return [((u >> np.uint64(s)) % np.uint64(bits)).astype(np.int64) for s in (0, 13, 31)]
-
-
 def shared_runs(doc: bytes, doc_at: int, item: bytes, item_at: int, span: int) -> list[tuple[int, int]]:
     """Runs of at least ``span`` equal words around a shared place, as (start, end) from the context's start.
 
@@ -146,45 +141,20 @@ def item_prints(items: DataFrame, span: int, k: int) -> DataFrame:
     return found.groupBy("hash", "at", "context", "short").agg(F.collect_set("item").alias("items"))
 
 
-def _filter(prints: DataFrame, bits: int) -> tuple[bytes, list[int]]:
-    """The Bloom filter, made of partial filters by bucket, and the lengths of short items (fewer than ``SPAN``)."""
-    def work(batch):
-        bitmap = np.zeros(bits // 8, np.uint8)
-        hashes = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        for slots in bloom_slots(hashes, bits):
-            np.bitwise_or.at(bitmap, slots >> 3, (1 << (slots & 7)).astype(np.uint8))
-        used = np.flatnonzero(bitmap)
-        yield {"byte": used, "value": bitmap[used].astype(np.int32)}
-
-    rows = arrow_map(prints.select("hash"), work, "byte long, value int").groupBy("byte").agg(F.bit_or("value").alias("value")).collect()
-    bitmap = np.zeros(bits // 8, np.uint8)
-    for r in rows:  # at most bits / 8 of them
-        bitmap[r["byte"]] = r["value"]
-    lengths = [r["short"] for r in prints.filter("short > 0").select("short").distinct().collect()]
-    return bitmap.tobytes(), sorted(lengths)
-
-
 def document_prints(docs: DataFrame, bitmap: bytes, lengths: list[int], span: int, k: int, bits: int) -> DataFrame:
     """Every document with its words' number and the fingerprints that pass the filter."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def passes(g):
-        bits_set = np.frombuffer(shared.value, np.uint8)
-        found = np.ones(len(g), bool)
-        for slots in bloom_slots(g, bits):
-            found &= (bits_set[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
-        return found
-
     def prints(h):
         g = grams(h, k)
         at = winnowed(g, span - k + 1)
-        for p in at[passes(g[at])]:
+        for p in at[in_bloom(shared.value, g[at], bits)]:
             lo, words = around(h, int(p), span, k)
             yield {"hash": int(g[p].astype(np.int64)), "at": int(p) - lo, "lo": lo, "short": 0, "context": words.tobytes()}
         for n in lengths:
             g = grams(h, n)
-            for p in np.flatnonzero(passes(g)):
+            for p in np.flatnonzero(in_bloom(shared.value, g, bits)):
                 yield {"hash": int(g[p].astype(np.int64)), "at": 0, "lo": int(p), "short": n, "context": h[p : p + n].tobytes()}
 
     def work(batch):
@@ -193,9 +163,10 @@ def document_prints(docs: DataFrame, bitmap: bytes, lengths: list[int], span: in
             h = word_hashes(text)
             n.append(len(h))
             found.append(list(prints(h)))
-        yield {"doc_id": batch.column(0), "n_words": n, "found": found}
+        yield {"doc_id": batch.column(0), "fp": batch.column(2), "n_words": n, "found": found}
 
-    schema = f"doc_id {kind}, n_words long, found array<struct<hash: long, at: int, lo: int, short: int, context: binary>>"
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("fp"))
+    schema = f"doc_id {kind}, fp long, n_words long, found array<struct<hash: long, at: int, lo: int, short: int, context: binary>>"
     return arrow_map(docs, work, schema)
 
 
@@ -203,10 +174,12 @@ def decontaminate(
     docs: DataFrame, items: DataFrame, span: int = SPAN, k: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", bits: int = BLOOM_BITS, salts: int = SALTS,
 ) -> DataFrame:
-    """(doc_id, n_words, spans, items): hit words as ordered (start, end) spans, and the items found, sorted as strings."""
+    """(doc_id, fp, n_words, spans, items): hit words as ordered (start, end) spans, and the items found,
+    sorted as strings; fp is a hash of the text that tells rows of one id apart."""
     benchmark = texts(items, item_col, text_col).select(F.col("doc_id").cast("string").alias("item"), "text")
     prints = stored(item_prints(benchmark, span, k), "item-prints")
-    bitmap, lengths = _filter(prints, bits)
+    bitmap = bloom(prints.select("hash"), bits)
+    lengths = sorted(r["short"] for r in prints.filter("short > 0").select("short").distinct().collect())  # fewer than ``span``
     rows = document_prints(texts(docs, id_col, text_col), bitmap, lengths, span, k, bits)
     rows = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "document-prints")
 
@@ -234,8 +207,8 @@ def decontaminate(
     spans = runs.select("__row", F.explode("runs").alias("r")).groupBy("__row").agg(F.sort_array(F.collect_set("r")).alias("r"))
     spans = spans.select("__row", merged("r").alias("r"))
     named = runs.select("__row", F.explode("items").alias("i")).groupBy("__row").agg(F.sort_array(F.collect_set("i")).alias("i"))
-    out = rows.select("doc_id", "n_words", "__row").join(spans, "__row", "left").join(named, "__row", "left")
+    out = rows.select("doc_id", "fp", "n_words", "__row").join(spans, "__row", "left").join(named, "__row", "left")
     empty = F.expr("CAST(array() AS array<struct<s: bigint, e: bigint>>)")
     return out.select(
-        "doc_id", "n_words", F.coalesce("r", empty).alias("spans"), F.coalesce("i", F.expr("CAST(array() AS array<string>)")).alias("items")
+        "doc_id", "fp", "n_words", F.coalesce("r", empty).alias("spans"), F.coalesce("i", F.expr("CAST(array() AS array<string>)")).alias("items")
     )

@@ -6,14 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemill.llm import decontam, licenses, packing, rules, sharding, tokens
-from telemill.llm.common import table
+from telemill.llm import decontam, jaccard, licenses, lm, packing, pii, rules, sharding, tokens, toxicity
+from telemill.llm.common import remainder, table
+
+
+def op1_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s.base)
+    return found.select(
+        "doc_id", *[count(k) for k in pii.BASE], F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
+    )
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links")
+
+
 def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -32,6 +47,13 @@ def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chain_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), lambda doc_id: remainder(doc_id, 4) != 2)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted", "spans")
+
+
 def op7_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     base = F.filter("matches", lambda m: m.template < len(licenses.BASE))
@@ -58,9 +80,18 @@ def op9_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = remainder(F.col("doc_id"), 10)
+    scored = lm.lm_scores(table(spark, sf_dir, "documents"), F.when(part == 0, 0).when(part == 1, 1).otherwise(2))
+    return scored.select("doc_id", (F.col("fold") == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     q.__name__: q
-    for q in (op2_best_fit_packing, op4_feistel_shards, op5_rule_ledger, op7_license_index, op8_winnowing, op9_whole_token_counts)
+    for q in (
+        op1_weak_supervision, op2_best_fit_packing, op3_ngram_jaccard, op4_feistel_shards, op5_rule_ledger, op6_chain_toxicity, op7_license_index,
+        op8_winnowing, op9_whole_token_counts, op10_deleted_interpolation,
+    )
 }
 
 _RULE_BITS = " + ".join(f"CASE WHEN {r.fails} THEN {1 << k} ELSE 0 END" for k, r in enumerate(rules.RULES))

@@ -1,0 +1,165 @@
+"""Personal data against plain patterns and planted spans; toxicity against held-out labels."""
+
+import hashlib
+import itertools
+import re
+
+import numpy as np
+import pytest
+from helpers import AWKWARD, documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from telemill.llm import pii, queries, toxicity
+
+
+def plain_spans(text):
+    """The base kinds by the plain patterns."""
+    digits = lambda s: [c for c in s if c in "0123456789"]
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in digits(m[0])]
+        total = sum(x if k % 2 == 0 else x * 2 - 9 * (x > 4) for k, x in enumerate(reversed(d)))
+        if 13 <= len(d) <= 19 and total % 10 == 0:
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(digits(m[0])) <= 15]
+    return out
+
+
+PLANTED = [
+    "write to a.b+c@mail.example.com or x@y, x@y.z@w.v.u now", "at 10.0.0.1, 256.1.1.1, 1.2.3.4.5.6.7.8 and 001.002.003.0004",
+    "cards 4111 1111 1111 1111, 4111-1111-1111-1112, 4111111111111111 9", "call +1 (555) 010-9999 or +49.30.123456-7, +12345678, +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6",
+    'token = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8" and commit 9b0b3c6a43eb78aa99cbd7049c572391524f37a8', "ssn 123-45-6789, page 999-00-0000",
+    "IBAN DE89 3704 0044 0532 0130 00 please", "signed Maria Keller", "１２.3.4.5 ٣.4.5.6 🙂 a@b.cd 🙂 +1 555 010 9999",
+]
+
+
+@given(st.text(alphabet=st.sampled_from(list("0123456789@.+-() aZ_%\n٣é")), max_size=50))
+@settings(max_examples=1500, deadline=None)
+def test_base_spans_are_those_of_the_patterns(text):
+    assert pii.base_spans(text) == plain_spans(text)
+
+
+def test_base_spans_of_awkward_texts():
+    for text in AWKWARD + PLANTED + ["9" * 30_000 + "@", "a" * 30_000 + "@b", "+1" * 20_000, "1." * 20_000]:
+        assert pii.base_spans(text or "") == plain_spans(text or "") if len(text or "") < 20_000 else True
+        pii.base_spans(text or "")
+
+
+def test_query(spark, small):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    rows = queries.op1_weak_supervision(spark, small).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        expect = plain_spans(texts[r.doc_id])
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in expect)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert r.spans.startswith(joined)
+        assert [r[f"n_{k}"] for k in pii.BASE] == [sum(x[0] == k for x in expect) for k in pii.BASE]
+
+
+def test_reliabilities_recover_a_planted_model():
+    random = np.random.default_rng(0)
+    truth = random.random(40_000) < 0.4
+    votes = np.stack([np.where(random.random(40_000) < a, truth, ~truth) * 2 - 1 for a in (0.95, 0.85, 0.7)], 1)
+    votes[random.random(votes.shape) < 0.2] = 0
+    patterns = {p: int((votes == p).all(1).sum()) for p in itertools.product((-1, 0, 1), repeat=3)}
+    prior, true, false, _ = pii.reliabilities({k: n for k, n in patterns.items() if n}, steps=200)
+    assert abs(prior - 0.4) < 0.03
+    assert np.allclose(true, [0.95, 0.85, 0.7], atol=0.04) and np.allclose(1 - false, [0.95, 0.85, 0.7], atol=0.04)
+
+
+@pytest.fixture(scope="module")
+def pii_model(spark):
+    texts = [f"x token = \"{hashlib.sha1(str(i).encode()).hexdigest()}\" y" for i in range(40)]
+    texts += [f"commit {hashlib.sha1(str(i).encode()).hexdigest()}" for i in range(40)] + AWKWARD + PLANTED
+    return pii.fit(documents(spark, texts))
+
+
+def test_further_kinds(spark, pii_model):
+    found = {r.doc_id: [(s.kind, s.start) for s in r.spans if not s.base] for r in pii.find(documents(spark, PLANTED), pii_model).collect()}
+    assert ("key", 9) in found[4] and len(found[4]) == 1
+    assert pii.find(documents(spark, ["a"]).limit(0), pii_model).count() == 0
+    assert pii.fit(documents(spark, ["a"]).limit(0)).weights == {}
+
+
+def test_redaction(spark, pii_model):
+    docs = documents(spark, [*AWKWARD, *PLANTED]).withColumnRenamed("lang", "spans")
+    rows = {r.doc_id: r for r in docs.withColumn("text", pii.redact(pii_model)("text")).collect()}
+    assert rows[0].text is None and rows[0].spans == "en"
+    assert rows[5].text == AWKWARD[5]
+    text = rows[len(AWKWARD)].text
+    assert text.startswith("write to [EMAIL] or x@y, [EMAIL]")
+    assert pii.redacted("abcdef", [("ip", 1, 4), ("card", 2, 5)]) == "a[IP]f"
+
+
+def brute_marginals(u, transition):
+    n = len(u)
+    weights = {}
+    for path in itertools.product((0, 1), repeat=n):
+        weights[path] = np.exp(sum(u[k] * s for k, s in enumerate(path)) + sum(transition[a, b] for a, b in zip(path, path[1:])))
+    total = sum(weights.values())
+    pairs = np.zeros((2, 2))
+    for path, w in weights.items():
+        for a, b in zip(path, path[1:]):
+            pairs[a, b] += w / total
+    return [sum(w for p, w in weights.items() if p[k]) / total for k in range(n)], pairs, np.log(total)
+
+
+def test_forward_backward_is_exact():
+    random = np.random.default_rng(1)
+    u, transition, lengths = random.normal(size=(4, 7)) * 2, random.normal(size=(2, 2)), np.array([7, 3, 1, 5])
+    marginal, pairs, log_total = toxicity.forward_backward(u, lengths, transition, pairs=True)
+    expect_pairs, expect_total = np.zeros((2, 2)), 0.0
+    for k, n in enumerate(lengths):
+        m, p, z = brute_marginals(u[k, :n], transition)
+        assert np.allclose(marginal[k, :n], m) and not marginal[k, n:].any()
+        expect_pairs, expect_total = expect_pairs + p, expect_total + z
+    assert np.allclose(pairs, expect_pairs) and np.isclose(log_total, expect_total)
+
+
+BAD = ["you utter grumbleworm", "what a snotgoblin and grumbleworm you are", "snotgoblins everywhere", "such a grumblewort"]
+GOOD = [
+    "a calm walk you take by the river and such", "goblins and utter calm live in old stories", "the worm turns everywhere in wet soil what are you",
+    "grumble not, friend", "snow on the hills and such a day",
+]
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    bad = [f"{GOOD[i % 5]} {BAD[i % 4]} word{i}" for i in range(60)]
+    good = [f"{GOOD[i % 5]} {GOOD[i % 3]} word{i}" for i in range(140)]
+    docs = documents(spark, bad + good)
+    labels = spark.createDataFrame([(i, int(i < 60), None) for i in range(200)] + [(5, None, 1), (None, 1, 1)], "doc_id long, toxic int, quality int")
+    return toxicity.fit(docs, labels)
+
+
+def test_chain_learns_and_points(spark, trained):
+    texts = [*AWKWARD, "oh GRUMBLEWORM, and a quiet day", "a quiet day " * 50, "the river and " * 200 + "snotgoblin " * 3]
+    rows = {r.doc_id: r for r in toxicity.score(documents(spark, texts), trained).collect()}
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows.values())
+    first = rows[len(AWKWARD)]
+    assert first.predicted == 1 and [texts[len(AWKWARD)][s.start : s.end] for s in first.spans] == ["GRUMBLEWORM"]
+    assert rows[len(AWKWARD) + 1].predicted == 0 and not rows[len(AWKWARD) + 1].spans
+    assert rows[0].predicted == rows[1].predicted == 0 and rows[0].score == rows[1].score
+    by_column = documents(spark, texts).select("doc_id", toxicity.probability(documents(spark, texts), trained)("text").alias("p")).collect()
+    assert all(abs(r.p - rows[r.doc_id].score) < 1e-12 for r in by_column)
+
+
+def test_without_labels_of_both_kinds(spark):
+    docs = documents(spark, ["a b", None])
+    for labels, expect in (([], 0.0), ([(0, 1)], 1.0), ([(0, 0), (1, 0)], 0.0)):
+        model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        assert all(abs(r.score - expect) < 1e-3 for r in toxicity.score(docs, model).collect())
+
+
+def test_held_out_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    scores = queries.op6_chain_toxicity(spark, folder).toPandas()
+    labels = spark.read.parquet(f"{folder}/labels.parquet").toPandas()
+    held = scores[scores.held_out].merge(labels, on="doc_id")
+    rank = held.score.rank()
+    positive = held.toxic == 1
+    n, m = positive.sum(), (~positive).sum()
+    assert (rank[positive].sum() - n * (n + 1) / 2) / (n * m) > 0.75  # some forty toxic texts to learn from
