@@ -63,6 +63,18 @@ def strings(column) -> Iterator[str]:
         yield value.as_py() or ""
 
 
+_TOOLS: dict = {}
+
+
+def per_worker(key, make: Callable):
+    """What an operator keeps in a Python worker between tasks: one operator's at a time, so that
+    the caches of a pipeline's stages don't add up."""
+    if key not in _TOOLS:
+        _TOOLS.clear()
+        _TOOLS[key] = make()
+    return _TOOLS[key]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a working table into the shared folder and read it back.
 

@@ -28,13 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import PLAIN_BYTES, arrow_map, bloom, in_bloom, stored, strings, texts
+from telemill.llm.common import PLAIN_BYTES, arrow_map, bloom, in_bloom, per_worker, stored, strings, texts
 
 SPAN = 10  # words of a window
 GRAM = 5  # k: words of a fingerprint
 BLOOM_BITS = 1 << 23
 SALTS = 16
-CACHE = 500_000  # word hashes kept per worker
+CACHE = 250_000  # word hashes kept per worker
 _words = re.compile(PLAIN_BYTES).findall
 
 
@@ -46,12 +46,9 @@ class _Hashes(dict):
         return h
 
 
-_HASHES = _Hashes()
-
-
 def word_hashes(text: str) -> np.ndarray:
     words = _words(text.encode().lower())  # of bytes, only A-Z changes
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(per_worker("words", _Hashes).__getitem__, words), np.uint64, len(words))
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:

@@ -28,14 +28,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import arrow_map, arrow_schema, as_batch, stored, texts
+from telemill.llm.common import arrow_map, arrow_schema, as_batch, per_worker, stored, texts
 
 BLOCK = 6_000_000  # bytes of text per block
 RANGE = 2_000_000  # tokens per hash range, about
 TOP = 1 << 55  # keys are below this; the lowest bit tells words from pairs
 CLASSES = 24  # context-frequency buckets
 GRID = 4  # steps per octave of the held-out histogram
-CACHE = 400_000
+CACHE = 250_000
 STEPS = 100
 BASE_ADD = 0.1
 _END = np.uint64(0xE7037ED1A0B428DB)
@@ -49,14 +49,11 @@ class _Hashes(dict):
         return h
 
 
-_HASHES = _Hashes()
-
-
 def _tokens(text: bytes) -> np.ndarray:
     """Hashes of the words and the end token; of bytes, only A-Z is lowered and ASCII blanks split."""
     words = text.lower().split()
     out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    out[:-1] = np.fromiter(map(per_worker("lm", _Hashes).__getitem__, words), np.uint64, len(words))
     out[-1] = _END
     return out
 

@@ -17,7 +17,6 @@ import base64
 import re
 import struct
 import zlib
-from functools import lru_cache
 from itertools import chain
 
 import public_tokenizers
@@ -27,12 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from telemill.llm.common import arrow_map, spark_schema, stored, strings, texts
+from telemill.llm.common import arrow_map, per_worker, spark_schema, stored, strings, texts
 
 CAPACITY = 2048
 END = struct.pack("<I", 0)
 ROWS_PER_SALT = 500
-CACHE = 500_000  # encoded segments kept per worker
+CACHE = 250_000  # encoded segments kept per worker
 # Unicode white space (fixed values). A text may be cut before white space that follows other
 # characters: no pre-token of the byte-level pattern spans such a place.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -54,7 +53,6 @@ class _Encoded(dict):
         return out
 
 
-@lru_cache(maxsize=1)
 def _tools(vocabulary: str):
     """The library's tokenizer, its special strings, and the cache over the same vocabulary's ranks."""
     library = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
@@ -67,7 +65,7 @@ def _tools(vocabulary: str):
 
 def encode(text: str, vocabulary: str = "byte_bpe_50k") -> bytes:
     """The ids of a text as little-endian unsigned 32-bit integers, without a closing id."""
-    library, special, encoded = _tools(vocabulary)
+    library, special, encoded = per_worker(("packing", vocabulary), lambda: _tools(vocabulary))
     if any(s in text for s in special):
         ids = library.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)

@@ -12,16 +12,15 @@ text columns are read.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from telemill.llm.common import arrow_map, strings, texts
+from telemill.llm.common import arrow_map, per_worker, strings, texts
 
 SPACE = "▁"  # how the vocabulary writes a blank (fixed value)
-CACHE = 600_000  # merged pre-tokens kept per worker
+CACHE = 400_000  # merged pre-tokens kept per worker
 
 
 def proven(model_path: str) -> tuple[sentencepiece.SentencePieceProcessor, re.Pattern, dict[str, int]]:
@@ -64,14 +63,13 @@ class _Counts(dict):
         return n
 
 
-@lru_cache(maxsize=1)
 def _tools(model_path: str):
     sp, pattern, whole = proven(model_path)
     return pattern.findall, _Counts(sp, whole)
 
 
 def count(text: str, model_path: str) -> int:
-    cut, counts = _tools(model_path)
+    cut, counts = per_worker(("tokens", model_path), lambda: _tools(model_path))
     if not text:
         return 0
     return sum(map(counts.__getitem__, cut(" " + text.replace(SPACE, " "))))

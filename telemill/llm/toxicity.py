@@ -21,6 +21,7 @@ scored each by itself. Other columns are never read.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from dataclasses import dataclass, field
@@ -30,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import LOWERED, PLAIN_WORD, arrow_map, strings, texts
+from telemill.llm.common import LOWERED, PLAIN_WORD, arrow_map, per_worker, strings, texts
 
 SAMPLE = 20_000  # labelled documents to learn from
 LEXICON = 20_000  # word parts kept, strongest first
@@ -42,13 +43,14 @@ PARTS = (4, 5, 6)  # lengths of word beginnings
 MIN_DOCS = 4
 CAUTION = 1.64  # standard errors between a log-odds and its lower bound
 THRESHOLD = 0.3
-CACHE = 500_000
+CACHE = 200_000
 _words = re.compile(PLAIN_WORD)
 
 
 @dataclass
 class Model:
     levels: dict[str, int] = field(default_factory=dict)  # by word or beginning (with an asterisk)
+    name: str = ""  # tells lexicons apart
     emission: np.ndarray = field(default_factory=lambda: np.zeros((3, len(LEVELS) + 1)))  # previous, own, next word's level
     transition: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     curve: np.ndarray = field(default_factory=lambda: np.zeros(6))
@@ -211,7 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=lambda doc_id: F.lit(True),
     cautious = odds - CAUTION * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
     strong = counts.filter(F.col("t") >= MIN_DOCS).select("part", cautious.alias("odds")).filter(F.col("odds") > LEVELS[0])
     lexicon = {r["part"]: int(np.searchsorted(LEVELS, r["odds"])) for r in strong.orderBy(F.desc("odds"), "part").limit(LEXICON).collect()}
-    model = Model(levels=lexicon)
+    model = Model(levels=lexicon, name=hashlib.sha256(repr(sorted(lexicon.items())).encode()).hexdigest())
 
     def windows(batch):
         level, out = Levels(lexicon), []
@@ -241,6 +243,11 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=lambda doc_id: F.lit(True),
     return model
 
 
+def _levels(model: Model) -> Levels:
+    """A worker's lookups for this model; a text's levels are the same whoever looks them up."""
+    return per_worker(("toxicity", model.name), lambda: Levels(model.levels))
+
+
 def _documents(model: Model, levels: Levels, batch: list[str], spans: bool):
     """Evidence of each text and, if wanted, its offending spans as (start, end) in code points."""
     x, found = np.zeros((len(batch), 6)), [[] for _ in batch]
@@ -266,7 +273,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def work(batch):
-        own, levels = shared.value, Levels(shared.value.levels)
+        own, levels = shared.value, _levels(shared.value)
         values = list(strings(batch.column(1)))
         for at in range(0, len(values), 2000):
             x, spans = _documents(own, levels, values[at : at + 2000], True)
@@ -282,7 +289,7 @@ def probability(docs: DataFrame, model: Model):
 
     @F.pandas_udf("double")
     def scored(column: pd.Series) -> pd.Series:
-        own, levels, out = shared.value, Levels(shared.value.levels), []
+        own, levels, out = shared.value, _levels(shared.value), []
         values = [t or "" for t in column]
         for at in range(0, len(values), 2000):
             x, _ = _documents(own, levels, values[at : at + 2000], False)
