@@ -96,8 +96,11 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 
 
 def spread_join(big: DataFrame, small: DataFrame, on: list[str], deal: Column, how: str = "left", salts: int = 16) -> DataFrame:
-    """Equi-join whose large side may hold a third of its rows under one key: dealt over salts by ``deal``."""
-    each = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    """Equi-join whose large side may hold a third of its rows under one key: dealt over salts by ``deal``.
+
+    The repeated side grows with the data, so it is never broadcast, however small its files are.
+    """
+    each = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     return big.withColumn("__salt", F.pmod(F.xxhash64(deal), F.lit(salts)).cast("int")).join(each, [*on, "__salt"], how).drop("__salt")
 
 

@@ -35,7 +35,7 @@ from telemill.llm.common import LOWERED, PLAIN_WORD, arrow_map, per_worker, stri
 
 SAMPLE = 20_000  # labelled documents to learn from
 LEXICON = 20_000  # word parts kept, strongest first
-WINDOWS = 20_000  # training windows of the chain
+WINDOWS = 6_000  # training windows of the chain
 WINDOW = 48  # words of a window
 LEVELS = (0.7, 1.4, 2.1, 2.8)  # log-odds bounds between levels
 LABELLED = 2  # tokens from this level on are labelled toxic in toxic documents
