@@ -34,22 +34,46 @@ def micros(df: DataFrame, name: str) -> Column:
     return F.unix_micros(F.col(name).cast("timestamp"))
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    """The order column as a double that never inverts the order; NULL sorts last.
+TEXT_BYTES = 6  # bytes of a string per number: exact in a double
+TEXT_PARTS = 8  # numbers per string; longer strings are cut by their first 48 bytes only
 
-    Strings are ordered by a hash: any fixed order breaks ties equally well.
+
+def _numbers(df: DataFrame, order: Sequence[str]) -> tuple[list[Column], bool]:
+    """The order columns as doubles whose lexicographic order is that of the columns; NULLs come last.
+
+    Long integers become two numbers, strings as many as their bytes need. The flag tells whether
+    the numbers hold all of every column; where they stop early, later columns are left out, so
+    that the order is never inverted.
     """
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        value = micros(df, name).cast("double")
-    elif isinstance(kind, T.NumericType):
-        # Adding zero turns -0.0 into 0.0, so that equal values share a bucket.
-        value = F.least(F.col(name).cast("double") + F.lit(0.0), F.lit(_BEFORE_LAST))
-    elif isinstance(kind, T.DateType):
-        value = F.unix_date(name).cast("double")
-    else:
-        value = F.xxhash64(name).cast("double")
-    return F.coalesce(value, F.lit(_LAST))
+    kinds = {c: df.schema[c].dataType for c in order}
+    texts = [c for c in order if isinstance(kinds[c], T.StringType)]
+    longest = df.agg(*[F.max(F.octet_length(c)).alias(c) for c in texts]).first() if texts else {}
+    out: list[Column] = []
+    for c in order:
+        kind, value, whole = kinds[c], F.col(c), True
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            parts = [micros(df, c).cast("double")]
+        elif isinstance(kind, T.LongType):
+            parts = [F.shiftright(value, 26).cast("double"), F.pmod(value, F.lit(1 << 26)).cast("double")]
+        elif isinstance(kind, T.StringType):
+            needed = -(-(longest[c] or 0) // TEXT_BYTES)
+            whole = needed <= TEXT_PARTS
+            code = F.hex(F.encode(value, "UTF-8"))
+            cut = [F.rpad(F.substring(code, 2 * TEXT_BYTES * k + 1, 2 * TEXT_BYTES), 2 * TEXT_BYTES, "0") for k in range(min(needed, TEXT_PARTS))]
+            parts = [F.conv(x, 16, 10).cast("double") for x in cut] + [F.octet_length(value).cast("double")] * whole
+        elif isinstance(kind, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)):
+            # Adding zero turns -0.0 into 0.0, so that equal values share a bucket.
+            parts = [F.least(value.cast("double") + F.lit(0.0), F.lit(_BEFORE_LAST))]
+        elif isinstance(kind, T.DateType):
+            parts = [F.unix_date(c).cast("double")]
+        elif isinstance(kind, T.NumericType):
+            parts, whole = [F.least(value.cast("double"), F.lit(_BEFORE_LAST))], False
+        else:
+            raise TypeError(f"rows can't be ordered by {c}: {kind.simpleString()}")
+        out += [F.when(value.isNull(), F.lit(_LAST)).otherwise(x) for x in parts]
+        if not whole:
+            return out, False
+    return out, True
 
 
 def _slot(df: DataFrame, source: str, cuts: list[float], out: str) -> DataFrame:
@@ -73,6 +97,8 @@ def _bucket(df: DataFrame, numbers: list[str], bounds: list[tuple]) -> tuple[Dat
     if not hot or len(numbers) == 1:
         return df, coarse, len(seen) + 1
     df, inner, size = _bucket(df, numbers[1:], sorted({b[1:] for b in bounds if seen[b[0]] > 1}))
+    if (len(seen) + 1) * (size + 1) >= 2**62:
+        return df, coarse, len(seen) + 1
     sub = F.when(F.col(numbers[0]).isin(hot), inner).otherwise(size)
     return df, coarse * (size + 1) + sub, (len(seen) + 1) * (size + 1)
 
@@ -94,21 +120,21 @@ def bucketed(
     # Buckets are hashed to shuffle partitions: several per partition even out.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(MAX_BUCKETS, max(wanted, min(BUCKETS_PER_PARTITION * parts, total // LEAST_ROWS)))
-    numbers = [f"_o{i}" for i in range(len(order))]
+    values, whole = _numbers(df, order)
+    numbers = [f"_o{i}" for i in range(len(values))]
     fraction = min(1.0, SAMPLE_PER_BUCKET * wanted / total)
-    sample = df.select([_as_number(df, c).alias(n) for c, n in zip(order, numbers)]).sample(fraction, seed=11)
+    sample = df.select([v.alias(n) for v, n in zip(values, numbers)]).sample(fraction, seed=11)
     points = sorted(tuple(r) for r in sample.collect())
     step = max(1, len(points) // wanted)
     bounds = points[step::step]
-    if len(set(bounds)) < len(bounds):
+    if len(set(bounds)) < len(bounds) and whole:
         # Copies share all order columns: give each row its own number, fixed by
         # a checkpoint so that a recomputed task sees the same numbers.
         order.append("_seq")
         df = checkpointed(df.withColumn("_seq", F.monotonically_increasing_id()))
         return bucketed(df, order, rows_per_bucket, out)
-    for c, n in zip(order, numbers):
-        df = df.withColumn(n, _as_number(df, c))
-    df, number, size = _bucket(df, numbers, bounds)
+    df = df.withColumns(dict(zip(numbers, values)))
+    df, number, size = _bucket(df, numbers, sorted(set(bounds)))
     helpers = [c for c in df.columns if c in numbers or c.startswith("_slot")]
     return df.withColumn(out, number).drop(*helpers), order, size
 
@@ -144,13 +170,21 @@ def over_preceding(
         )
         # At most ``ahead`` rows per (key, bucket): small enough for one task per key.
         along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*_ascending(order))
-        row = F.struct(*[c for c in held if c != "_bucket" and c not in keys])
+        tails = tails.withColumn("_at", F.row_number().over(along)).withColumn(
+            "_first", ~F.col("_bucket").eqNullSafe(F.lag("_bucket").over(along))
+        )
+        # A bucket takes the ``ahead`` tail rows before its first: rows and buckets meet by stretch of the numbering.
+        stretch = F.floor(F.col("_at") / ahead)
+        firsts = tails.filter("_first").select(
+            *[F.col(k).alias(f"_to_{k}") for k in keys], F.col("_bucket").alias("_to"), F.col("_at").alias("_to_at"), stretch.alias("_to_stretch")
+        )
+        same = F.col("_stretch") == F.col("_to_stretch")
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_to_{k}"))
         carried = (
-            tails.withColumn("_before", F.collect_list(row).over(along.rowsBetween(-ahead, -1)))
-            .withColumn("_first", ~F.col("_bucket").eqNullSafe(F.lag("_bucket").over(along)))
-            .filter("_first")
-            .select(*keys, "_bucket", F.explode("_before").alias("_row"))
-            .select(*keys, "_bucket", "_row.*", F.lit(True).alias("_carry"))
+            tails.withColumn("_stretch", F.explode(F.array(stretch, stretch + 1))).join(firsts, same)
+            .filter((F.col("_at") < F.col("_to_at")) & (F.col("_at") >= F.col("_to_at") - ahead))
+            .select(F.col("_to").alias("_bucket"), *[c for c in held if c != "_bucket"], F.lit(True).alias("_carry"))
         )
         df = df.withColumn("_carry", F.lit(False)).unionByName(carried, allowMissingColumns=True)
     spec = Window.partitionBy(*keys, "_bucket").orderBy(*_ascending(order)).rowsBetween(-ahead, 0)

@@ -189,9 +189,9 @@ def _reading_counts(readings: DataFrame, groups: dict[str, Column]) -> DataFrame
 
 
 def _joinable(readings: DataFrame, start: Column) -> DataFrame:
-    """Readings that a prediction from ``start`` on can reach."""
+    """Readings that a prediction from ``start`` on can reach; one without a machine meets none."""
     earliest = shift(start, -TOLERANCE_S, "SECOND")
-    kept = F.col("timestamp") >= earliest
+    kept = (F.col("timestamp") >= earliest) & F.col("machine_id").isNotNull()
     if "event_date" in readings.columns:
         kept = kept & (F.col("event_date") >= F.to_date(earliest))
     return readings.filter(kept)

@@ -13,11 +13,12 @@ from telemill.sources.schema import EVENT_SCHEMA, PARTITION, nan_to_null
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header line. The header decides which of the schema's columns
-    the file has, so a file that lacks some features is read without them."""
+    the file has, so a file that lacks some features is read without them. Files of one folder must
+    share their header: reading fails where one differs, rather than taking columns by position."""
     header = spark.read.option("header", True).csv(path).columns
     known = {f.name: f for f in schema.fields}
     present = T.StructType([known.get(c, T.StructField(c, T.StringType(), True)) for c in header])
-    return nan_to_null(spark.read.schema(present).option("header", True).csv(path))
+    return nan_to_null(spark.read.schema(present).option("header", True).option("enforceSchema", False).csv(path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from telemill.operators.features import enrich, rolling, zscores
-from telemill.operators.ordered import bucketed, exact_quantiles, forward_fill, running_totals
+from telemill.operators.ordered import bucketed, exact_quantiles, forward_fill, over_preceding, running_totals
 
 
 def series(spark, n=3000, seed=1, hot=0.0, hot_null=0.0, machines=3):
@@ -125,3 +125,25 @@ def test_enrichment_edges(spark):
     flat = zscores(series(spark, 20).withColumn("x", F.lit(5.0)), ["x"])
     assert {r["x_zscore"] for r in flat.collect()} == {0.0}
     assert enrich(series(spark, 5).limit(0)).count() == 0
+
+
+def tied(spark, n=4000):
+    """String ids, a third of the rows at one time, ids that share a long beginning and big numbers."""
+    rng = random.Random(4)
+    rows = [(f"MACHINE_{rng.randrange(3):03d}_{i % 1777}_{i}", 500 if rng.random() < 0.33 else rng.randrange(1000), (1 << 60) + i // 3, None if rng.random() < 0.3 else rng.gauss(5, 2)) for i in range(n)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "event_id string, sec long, big long, x double")
+    return df.withColumn("timestamp", F.timestamp_seconds("sec"))
+
+
+@pytest.mark.parametrize("order", [("timestamp", "event_id"), ("event_id",), ("big", "event_id")], ids=str)
+@pytest.mark.parametrize("per_bucket", [100, 1000])
+def test_string_ids_and_tied_times(spark, order, per_bucket):
+    df = tied(spark)
+    by = [F.asc_nulls_last(c) for c in order]
+    mean = F.avg("x").over(Window.orderBy(*by).rowsBetween(-9, 0))
+    last = F.last("x", ignorenulls=True).over(Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, 0))
+    theirs = by_id(df.select("event_id", mean.alias("m"), last.alias("f")), "m", "f")
+    rolled = by_id(over_preceding(df, {"m": lambda w: F.avg("x").over(w)}, ["x"], 10, order, rows_per_bucket=per_bucket), "m")
+    filled = by_id(forward_fill(df, ["x"], order=order, rows_per_bucket=per_bucket), "x")
+    assert all(close(rolled[i][0], theirs[i][0]) and filled[i][0] == theirs[i][1] for i in theirs)
