@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from telemill.plans import dashboard as d
 
-AT, AS_OF = datetime(2024, 1, 30, 12), F.lit("2024-01-30 23:59:00").cast("timestamp")
+AT = datetime(2024, 1, 30, 12)
 
 
 def sides(spark):
@@ -21,7 +21,8 @@ def sides(spark):
 
 def test_null_machines(spark):
     p, e = sides(spark)
-    assert {r.temp_bin_start: r.reading_count for r in d.temperature_histogram(p, e, AS_OF).collect()} == {None: 1, 60.0: 1}
-    assert {r.machine_id: (r.total_readings, r.avg_temperature) for r in d.machine_statistics(p, e, AS_OF).collect()} == {None: (1, None), "M1": (1, 61.0)}
-    assert [r.alert_count for r in d.severity_counts(p, e, AS_OF).collect()] == [2]
-    assert [(r.total_predictions, r.true_positives) for r in d.model_quality(p, e, AS_OF).collect()] == [(2, 1)]
+    as_of = F.lit("2024-01-30 23:59:00").cast("timestamp")
+    assert {r.temp_bin_start: r.reading_count for r in d.temperature_histogram(p, e, as_of).collect()} == {None: 1, 60.0: 1}
+    assert {r.machine_id: (r.total_readings, r.avg_temperature) for r in d.machine_statistics(p, e, as_of).collect()} == {None: (1, None), "M1": (1, 61.0)}
+    assert [r.alert_count for r in d.severity_counts(p, e, as_of).collect()] == [2]
+    assert [(r.total_predictions, r.true_positives) for r in d.model_quality(p, e, as_of).collect()] == [(2, 1)]
