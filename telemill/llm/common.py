@@ -135,3 +135,28 @@ def in_bloom(bitmap: bytes, hashes, bits: int):
     for slots in bloom_slots(hashes, bits):
         found &= (bytes_[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
     return found
+
+
+def logistic_weights(x, p, n, ridge: float, steps: int = 50):
+    """Weights of a ridge logistic regression on soft labels ``p`` with counts ``n``.
+
+    Newton steps, halved until the penalised loss falls: full steps diverge where labels are
+    (nearly) separable.
+    """
+
+    def loss(w):
+        z = x @ w
+        return float(n @ (np.logaddexp(0, z) - p * z)) + ridge / 2 * float(w @ w)
+
+    w = np.zeros(x.shape[1])
+    now = loss(w)
+    for _ in range(steps):
+        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        hessian = (x * (n * q * (1 - q))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(hessian, x.T @ (n * (p - q)) - ridge * w)
+        while (then := loss(w + step)) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if then >= now:
+            break
+        w, now = w + step, then
+    return w

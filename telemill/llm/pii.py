@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import arrow_map, strings, texts
+from telemill.llm.common import arrow_map, logistic_weights, strings, texts
 
 # --- base kinds ---------------------------------------------------------------------------------
 
@@ -215,16 +215,9 @@ def reliabilities(patterns: dict[tuple[int, ...], float], steps: int = 60) -> tu
     return prior, true, false, {k: float(v) for k, v in zip(patterns, p)}
 
 
-def logistic(x: np.ndarray, p: np.ndarray, n: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
-    """Weights of a logistic regression on soft labels with counts, by damped Newton steps."""
-    w = np.zeros(x.shape[1])
-    scale = min(1.0, 10_000 / max(n.sum(), 1.0))  # keeps the ridge's weight at any size
-    n = n * scale
-    for _ in range(steps):
-        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (n * q * (1 - q))[:, None]).T @ x + ridge * np.eye(len(w))
-        w = w + np.linalg.solve(hessian, x.T @ (n * (p - q)) - ridge * w)
-    return w
+def logistic(x: np.ndarray, p: np.ndarray, n: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights of a logistic regression on soft labels with counts, scaled to keep the ridge's weight at any size."""
+    return logistic_weights(x, p, n * min(1.0, 10_000 / max(n.sum(), 1.0)), ridge)
 
 
 def _row(features: int) -> list[float]:

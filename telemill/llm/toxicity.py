@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import LOWERED, PLAIN_WORD, arrow_map, per_worker, strings, texts
+from telemill.llm.common import LOWERED, PLAIN_WORD, arrow_map, logistic_weights, per_worker, strings, texts
 
 SAMPLE = 20_000  # labelled documents to learn from
 LEXICON = 20_000  # word parts kept, strongest first
@@ -154,14 +154,9 @@ def evidence(marginal: np.ndarray, levels: np.ndarray, lengths: np.ndarray) -> n
     return np.stack([np.ones(len(total)), strongest, np.log1p(total), high, highest, total / np.sqrt(np.maximum(lengths, 1))], 1)
 
 
-def train_curve(x: np.ndarray, y: np.ndarray, steps: int = 30, ridge: float = 0.5) -> np.ndarray:
-    """Logistic regression by Newton steps."""
-    w = np.zeros(x.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        w = w + np.linalg.solve(hessian, x.T @ (y - p) - ridge * w)
-    return w
+def train_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
+    """Logistic regression of the label on the evidence."""
+    return logistic_weights(x, y, np.ones(len(y)), ridge)
 
 
 def by_length(all_levels: list[np.ndarray], work, cells: int = 400_000) -> None:
