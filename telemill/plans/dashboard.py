@@ -17,7 +17,7 @@ from telemill.functions.levels import alert_status, score_severity, temperature_
 from telemill.functions.numbers import one_if, percent, ratio, ratio_or_zero, sum_if
 from telemill.operators.intervaljoin import SECOND, TOLERANCE_S, interval_join, nearby_sums, nearest_join
 from telemill.operators.ordered import micros
-from telemill.sources.schema import DASHBOARD_COLUMNS, LABEL, SENSORS
+from telemill.sources.schema import DASHBOARD_COLUMNS, LABEL, PARTITION, SENSORS
 
 
 def _anomaly() -> Column:
@@ -131,13 +131,20 @@ def _newest_joined(predictions: DataFrame, readings: DataFrame, k: int) -> DataF
     tol, width = TOLERANCE_S * SECOND, 2 * TOLERANCE_S * SECOND
     reach = F.array_distinct(F.array(F.floor((F.col("_us") - tol) / width), F.floor((F.col("_us") + tol) / width)))
     probes = top.select("_id", *wanted, "_us", F.explode(reach).alias("_bk"))
+    # A bucket lies within one date. The filter holds for every probe; it tells the optimizer that
+    # the probes are few, which makes it prune the readings' dates by them.
+    probes = probes.withColumn("_date", F.to_date(F.timestamp_micros((F.col("_bk") * width).cast("long")))).filter(F.col("_id") < k)
+    dated = PARTITION in readings.columns
     near = readings.select(
-        F.col("machine_id").alias("_rk"), micros(readings, "timestamp").alias("_rus"), *SENSORS
+        F.col("machine_id").alias("_rk"), micros(readings, "timestamp").alias("_rus"), *SENSORS,
+        *[F.col(PARTITION).alias("_rdate")] * dated,
     ).withColumn("_rbk", F.floor(F.col("_rus") / width))
-    matched = near.join(
-        F.broadcast(probes),
+    meets = (
         (F.col("machine_id") == F.col("_rk")) & (F.col("_bk") == F.col("_rbk"))
-        & F.col("_us").between(F.col("_rus") - tol, F.col("_rus") + tol),
+        & F.col("_us").between(F.col("_rus") - tol, F.col("_rus") + tol)
+    )
+    matched = near.join(
+        F.broadcast(probes), meets & (F.col("_date") == F.col("_rdate")) if dated else meets
     ).select("_id", *wanted, *SENSORS).orderBy(*order, *ties).limit(k)
     return top.select("_id", *wanted).join(F.broadcast(matched.select("_id", *SENSORS)), "_id", "left").orderBy(
         *order, *ties

@@ -140,3 +140,15 @@ def test_empty_sides(spark):
     assert [(r["temp_bin_start"], r["reading_count"]) for r in rows] == [(None, 400)]
     kpi = d.last_hour_kpi(p.limit(0), now).first()
     assert kpi["events_last_hour"] == 0 and kpi["anomalies_last_hour"] is None and kpi["anomaly_rate_pct"] is None
+
+
+def test_newest_rows_read_only_their_dates(spark, tmp_path):
+    """On tables partitioned by date, the readings' scan is pruned by the newest predictions' dates."""
+    p, e = frames(spark, 9, span=3 * 86_400.0)
+    e.write.partitionBy("event_date").parquet(str(tmp_path / "readings"))
+    stored = spark.read.parquet(str(tmp_path / "readings"))
+    now = F.lit("2024-01-30 23:59:00").cast("timestamp")
+    for plan, plain in ((d.scatter(p, stored, 50), d.scatter(p, e.drop("event_date"), 50)),
+                        (d.alert_feed(p, stored, now, 20), d.alert_feed(p, e.drop("event_date"), now, 20))):
+        assert "dynamicpruning" in plan._jdf.queryExecution().toString().lower()
+        assert sorted(map(str, plan.collect())) == sorted(map(str, plain.collect()))
