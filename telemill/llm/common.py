@@ -20,7 +20,6 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 # Words of lower-cased text: everything but ASCII characters other than 0-9 and a-z.
 PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PLAIN_BYTES = rb"[0-9a-z\x80-\xff]+"  # the same words in lower-cased UTF-8
-LOWERED = str.maketrans(UPPER, LOWER)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

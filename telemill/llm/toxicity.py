@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import LOWERED, PLAIN_WORD, arrow_map, logistic_weights, per_worker, strings, texts
+from telemill.llm.common import PLAIN_WORD, arrow_map, logistic_weights, per_worker, strings, texts
 
 SAMPLE = 20_000  # labelled documents to learn from
 LEXICON = 20_000  # word parts kept, strongest first
@@ -57,7 +57,7 @@ class Model:
 
 
 def lowered(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(LOWERED)
+    return text.encode().lower().decode()  # bytes know only A-Z
 
 
 def parts(word: str) -> list[str]:
@@ -74,7 +74,11 @@ class Levels(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE:
             self.clear()
-        level = self[word] = max(self.lexicon.get(p, 0) for p in parts(word))
+        level = self.lexicon.get(word, 0)
+        for k in PARTS:
+            if len(word) > k:
+                level = max(level, self.lexicon.get(word[:k] + "*", 0))
+        self[word] = level
         return level
 
     def of(self, text: str) -> np.ndarray:
@@ -89,8 +93,8 @@ def potentials(levels: np.ndarray, emission: np.ndarray) -> np.ndarray:
     return emission[0][before] + emission[1][levels] + emission[2][after]
 
 
-def forward_backward(u: np.ndarray, lengths: np.ndarray, transition: np.ndarray, pairs: bool = False):
-    """Marginals of the toxic state (0 beyond a text's end), and on demand expected transitions and the log partition."""
+def forward_backward(u: np.ndarray, lengths: np.ndarray, transition: np.ndarray):
+    """Marginals of the toxic state (0 beyond a text's end), expected transitions and the log partition."""
     rows, steps = u.shape
     inside = np.arange(steps)[None, :] < lengths[:, None]
     e = np.stack([np.ones_like(u), np.exp(np.clip(u, -30, 30))], 2)
@@ -107,16 +111,42 @@ def forward_backward(u: np.ndarray, lengths: np.ndarray, transition: np.ndarray,
     for k in range(steps - 2, -1, -1):
         message = e[:, k + 1] * beta[:, k + 1]
         live = inside[:, k + 1]
-        if pairs:
-            joint = alpha[:, k, :, None] * t * message[:, None, :]
-            joint /= joint.sum((1, 2), keepdims=True)
-            expected += joint[live].sum(0)
+        joint = alpha[:, k, :, None] * t * message[:, None, :]
+        joint /= joint.sum((1, 2), keepdims=True)
+        expected += joint[live].sum(0)
         back = message @ t.T
         back /= back.sum(1, keepdims=True) / 2
         beta[:, k] = np.where(live[:, None], back, 1.0)
     m = alpha * beta
     marginal = np.where(inside, m[:, :, 1] / np.maximum(m.sum(2), 1e-300), 0.0)
-    return (marginal, expected, float(np.log(scale)[inside].sum())) if pairs else marginal
+    return marginal, expected, float(np.log(scale)[inside].sum())
+
+
+def marginals(levels: np.ndarray, lengths: np.ndarray, emission: np.ndarray, transition: np.ndarray) -> np.ndarray:
+    """Marginals of the toxic state, 0 beyond a text's end; rows are texts in ascending order of length.
+
+    The forward and backward recursions on the odds of the two states, which need no scaling:
+    they stay within the range of one word's potential and of one transition.
+    """
+    size, (rows, steps) = len(LEVELS) + 1, levels.shape
+    by_code = np.exp(np.clip(emission[0][:, None, None] + emission[1][None, :, None] + emission[2][None, None, :], -30, 30)).ravel()
+    own = np.zeros((steps + 2, rows), np.uint8)  # one word's row of all texts lies together
+    own[1:-1] = levels.T
+    odds = by_code[own[:-2] * np.uint8(size * size) + own[1:-1] * np.uint8(size) + own[2:]]
+    t = np.exp(transition - transition[0, 0])
+    first = np.searchsorted(lengths, np.arange(steps + 1), side="right")  # texts from here on reach a word
+    forward, backward = odds.copy(), np.ones_like(odds)
+    for k in range(1, steps):
+        before = forward[k - 1, first[k] :]
+        forward[k, first[k] :] *= (t[0, 1] + t[1, 1] * before) / (1 + t[1, 0] * before)
+    for k in range(steps - 2, -1, -1):
+        after = odds[k + 1, first[k + 1] :] * backward[k + 1, first[k + 1] :]
+        backward[k, first[k + 1] :] = (t[1, 0] + t[1, 1] * after) / (1 + t[0, 1] * after)
+    forward *= backward
+    forward /= 1 + forward
+    for k in range(steps):
+        forward[k, : first[k]] = 0
+    return forward.T
 
 
 def train_chain(levels: np.ndarray, lengths: np.ndarray, labels: np.ndarray, steps: int = 60, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +168,7 @@ def train_chain(levels: np.ndarray, lengths: np.ndarray, labels: np.ndarray, ste
     total = max(1, int(inside.sum()))
     for step in range(1, steps + 1):
         emission, transition = weights[: 3 * size].reshape(3, size), weights[3 * size :].reshape(2, 2)
-        marginal, expected, _ = forward_backward(potentials(levels, emission), lengths, transition, pairs=True)
+        marginal, expected, _ = forward_backward(potentials(levels, emission), lengths, transition)
         gradient = np.concatenate(((seen - sums(marginal)).ravel(), (seen_pairs - expected).ravel())) - ridge * weights
         gradient /= total
         mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
@@ -160,7 +190,7 @@ def train_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
 
 
 def by_length(all_levels: list[np.ndarray], work, cells: int = 400_000) -> None:
-    """Calls ``work(indices, padded levels, lengths)`` on groups of texts of similar length."""
+    """Calls ``work(indices, padded levels, lengths)`` on groups of texts of similar length, shorter ones first."""
     order = sorted(range(len(all_levels)), key=lambda i: len(all_levels[i]))
     at = 0
     while at < len(order):
@@ -169,7 +199,7 @@ def by_length(all_levels: list[np.ndarray], work, cells: int = 400_000) -> None:
             end += 1
         group = order[at:end]
         lengths = np.array([len(all_levels[i]) for i in group])
-        padded = np.zeros((len(group), max(1, int(lengths.max()))), np.int64)
+        padded = np.zeros((len(group), max(1, int(lengths.max()))), np.int8)
         for k, i in enumerate(group):
             padded[k, : lengths[k]] = all_levels[i]
         work(group, padded, lengths)
@@ -248,7 +278,7 @@ def _documents(model: Model, levels: Levels, batch: list[str], spans: bool):
     x, found = np.zeros((len(batch), 6)), [[] for _ in batch]
 
     def work(group, padded, lengths):
-        marginal = forward_backward(potentials(padded, model.emission), lengths, model.transition)
+        marginal = marginals(padded, lengths, model.emission, model.transition)
         x[group] = evidence(marginal, padded, lengths)
         if spans:
             for k, i in enumerate(group):

@@ -111,7 +111,7 @@ def brute_marginals(u, transition):
 def test_forward_backward_is_exact():
     random = np.random.default_rng(1)
     u, transition, lengths = random.normal(size=(4, 7)) * 2, random.normal(size=(2, 2)), np.array([7, 3, 1, 5])
-    marginal, pairs, log_total = toxicity.forward_backward(u, lengths, transition, pairs=True)
+    marginal, pairs, log_total = toxicity.forward_backward(u, lengths, transition)
     expect_pairs, expect_total = np.zeros((2, 2)), 0.0
     for k, n in enumerate(lengths):
         m, p, z = brute_marginals(u[k, :n], transition)
@@ -120,6 +120,17 @@ def test_forward_backward_is_exact():
     assert np.allclose(pairs, expect_pairs) and np.isclose(log_total, expect_total)
 
 
+def test_odds_give_the_same_marginals():
+    random = np.random.default_rng(2)
+    lengths = np.array([0, 1, 1, 4, 9, 9])
+    levels = random.integers(0, 5, (6, 9)) * (np.arange(9) < lengths[:, None])
+    emission, transition = random.normal(size=(3, 5)) * 3, random.normal(size=(2, 2)) * 2
+    expect, _, _ = toxicity.forward_backward(toxicity.potentials(levels, emission), lengths, transition)
+    assert np.allclose(toxicity.marginals(levels.astype(np.int8), lengths, emission, transition), expect, atol=1e-12)
+    steep = toxicity.marginals(np.full((1, 50_000), 4, np.int8), np.array([50_000]), emission * 100, transition * 20)
+    assert np.isfinite(steep).all() and (steep <= 1).all()
+
+
 BAD = ["you utter grumbleworm", "what a snotgoblin and grumbleworm you are", "snotgoblins everywhere", "such a grumblewort"]
 GOOD = [
     "a calm walk you take by the river and such", "goblins and utter calm live in old stories", "the worm turns everywhere in wet soil what are you",
