@@ -21,13 +21,22 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PLAIN_BYTES = rb"[0-9a-z\x80-\xff]+"  # the same words in lower-cased UTF-8
 
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the two columns an operator works on, so that no other name can clash."""
+    """Only the two columns an operator works on, so that no other name can clash.
+
+    Texts go to Python in batches of a few MB, unless the session sets its own size: a batch is
+    held several times over, as Arrow on both sides and as strings.
+    """
+    name, size = BATCH_BYTES
+    if name not in docs.sparkSession.conf.getAll:
+        docs.sparkSession.conf.set(name, size)
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
 
