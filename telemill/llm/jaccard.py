@@ -41,7 +41,7 @@ HASHES = BANDS * ROWS
 STEP = 16  # MinHash values compared at a time
 TOLERANCE = 1e-6
 BLOCK = 256  # members of a group that one side of a task holds
-BUNDLE = 4000  # rows of small groups that share a task's call
+BUNDLE = 1000  # rows of small groups that share a task's call
 CELLS = 200_000  # shingles hashed at a time
 BLOOM_BITS = 1 << 26  # at most; passes the documents whose sets are needed again
 _MULTIPLIERS = np.random.default_rng(20_240_101).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
