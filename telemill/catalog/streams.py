@@ -84,7 +84,7 @@ def _joined(s, p):
 
 def _scored(s, p):
     ready, features, numbers = prepare(raw(s, p))
-    forest = fit(ready, features, ForestParams(n_estimators=50, contamination=0.05))
+    forest = fit(ready, features, ForestParams(contamination=0.05))
     forest.extra["scaler"] = numbers
     out = scratch(s, "scored")
     lines = st.line_stream(s, _files(s, raw(s, p).select(*_COLUMNS), "lines", flush=False))
