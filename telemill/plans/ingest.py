@@ -24,22 +24,18 @@ def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def not_yet_stored(events: DataFrame, path: str, margin_days: int = 1) -> DataFrame:
-    """Events whose id the table does not hold.
+def not_yet_stored(events: DataFrame, path: str) -> DataFrame:
+    """Events whose id the table does not hold, on any date.
 
-    Only the dates around the incoming ones are read; an id belongs to one event
-    time, so its copies lie on the same date.
+    A sender may correct an event's time, so every date's ids are read, and no
+    other column. The stored ids are first cut to those that came in; these few
+    are what the events are compared with.
     """
     stored = table_or_none(events.sparkSession, path)
     if stored is None:
         return events
-    undated = F.col(PARTITION).isNull()
-    dates = events.agg(F.min(PARTITION).alias("lo"), F.max(PARTITION).alias("hi")).first()
-    if dates["lo"] is not None:
-        stored = stored.filter(undated | F.col(PARTITION).between(
-            F.date_sub(F.lit(dates["lo"]), margin_days), F.date_add(F.lit(dates["hi"]), margin_days)
-        ))
-    return events.join(stored.select("event_id"), "event_id", "left_anti")
+    again = stored.select("event_id").join(events.select("event_id"), "event_id", "left_semi")
+    return events.join(again, "event_id", "left_anti")
 
 
 def with_event_id(events: DataFrame) -> DataFrame:

@@ -101,6 +101,23 @@ def test_events_without_an_id_are_all_kept(spark):
     assert io.read_table(spark, f"{root}/{ingest.QUARANTINE}").count() == 1
 
 
+def test_an_event_sent_again_with_another_time_is_stored_once(spark):
+    root = scratch(spark, "load")
+
+    def send(*rows):
+        ingest.load_lines(spark.createDataFrame([(f'{{"event_id":"{i}","machine_id":"M1"{t}}}',) for i, t in rows], "value string"), root)
+
+    def at(day):
+        return f',"timestamp":"2024-01-{day:02d}T00:00:01Z"'
+
+    send(("a", at(1)), ("b", at(1)), ("c", ""))
+    send(("a", at(9)), ("b", ""), ("c", at(9)), ("d", at(9)), ("e", ""))
+    send(("e", at(20)), ("d", at(1)))
+    stored = io.read_table(spark, f"{root}/{ingest.RAW}").collect()
+    assert sorted(r["event_id"] for r in stored) == ["a", "b", "c", "d", "e"]
+    assert next(r for r in stored if r["event_id"] == "a")["timestamp"].day == 1
+
+
 def test_recent_skips_whole_dates(spark):
     path = scratch(spark, "t")
     for day in (1, 2, 3):
