@@ -204,3 +204,14 @@ def test_clean_texts_stay_on_every_table(spark):
         judged = queries.op6_chain_toxicity(spark, folder).join(table(spark, folder, "labels").select("doc_id", "toxic"), "doc_id")
         by_label = {r["toxic"]: r["share"] for r in judged.groupBy("toxic").agg(F.avg("predicted").alias("share")).collect()}
         assert by_label[0] < 0.05 and by_label[1] > (0.95 if name == "check_s" else 0), (name, by_label)
+
+
+def test_recall_with_few_toxic_labels(spark):
+    """The floor is what sf0.01 has now: at most 18 of its 51 toxic texts are missed."""
+    from telemill.llm.common import table
+
+    folder = "/root/testdata/sf0.01"
+    toxic = table(spark, folder, "labels").filter("toxic = 1").select("doc_id")
+    caught = queries.op6_chain_toxicity(spark, folder).join(toxic, "doc_id").select("predicted").collect()
+    missed = sum(not r["predicted"] for r in caught)
+    assert len(caught) == 51 and missed <= 18, (len(caught), missed)
