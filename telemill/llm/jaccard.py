@@ -7,9 +7,10 @@ the threshold falls below the tolerance. What survives is verified exactly on th
 
 No task sees an unbounded group: buckets and clusters beyond ``BLOCK`` rows are cut into blocks,
 and a task compares two blocks. Pairs live only inside such a task; it emits one row per member
-(a spanning tree of what it found, and link counts), so the rows grow with the group and not with
-its square. The links of a near-copy group are counted exactly, hence a group's CPU time does
-grow with its square. Candidates meet in at least one band with probability 1 - 3e-6 at a
+(a spanning tree of what it found, and link counts). Each member goes to one task per block, so a
+group of n different near copies makes some n * n / 256 shuffled rows, with signatures or shingle
+sets (39 M for 100,000). The links of a near-copy group are counted exactly, hence a group's CPU
+time grows with its square too. Candidates meet in at least one band with probability 1 - 3e-6 at a
 similarity of exactly 0.8, and more above; clusters are verified whole, which adds to that.
 
 ``links`` of a document counts the other documents at the threshold or above, copies included;
