@@ -23,21 +23,12 @@ ROWS_PER_SALT = 50_000
 
 
 def _hot_buckets(hashed: DataFrame, at_least: int) -> dict[int, int]:
-    """Bucket hashes that hold at least ``at_least`` rows, with a row estimate.
+    """Rows of each bucket hash that holds at least ``at_least`` rows, counted exactly.
 
-    A frequent-items sketch finds them in one pass without shuffling the rows. It
-    tracks 10,000 items, so it sees any bucket above a few thousandths of the input.
+    Counts are summed up before the shuffle. There are at most rows / ``at_least`` of them.
     """
-    rows = hashed.agg(F.expr("approx_top_k(_hash, 200, 10000)").alias("t")).first()["t"]
-    return {r["item"]: r["count"] for r in rows or [] if r["count"] >= at_least}
-
-
-def _salts(hot: dict[int, int], rows_per_salt: int) -> Column:
-    """Number of salts of a row's bucket: 1 unless it is hot."""
-    if not hot:
-        return F.lit(1)
-    pairs = [F.lit(x) for item, n in hot.items() for x in (item, -(-n // rows_per_salt))]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("_hash")), F.lit(1)).cast("int")
+    counts = hashed.groupBy("_hash").agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
+    return {r["_hash"]: r["n"] for r in counts.collect()}
 
 
 def interval_join(
@@ -83,20 +74,19 @@ def _salted(
     in exactly one of the ``a * b`` cells. Unmatched rows of hot buckets are found
     against the distinct right times, which copies cannot inflate.
     """
-    hot = sorted({*hot_left, *hot_right})
-    lt = lt.withColumn("_hash", F.xxhash64(key, "_bk"))
-    rt = rt.withColumn("_hash", F.xxhash64("_rk", "_rbk"))
-    rt = rt.withColumns({"_a": _salts(hot_left, rows_per_salt), "_b": _salts(hot_right, rows_per_salt)})
-    is_hot = F.col("_hash").isin(hot)
-    cold = lt.filter(~is_hot | F.col("_hash").isNull()).drop("_hash").join(
-        rt.filter(~is_hot).drop("_hash", "_a", "_b"), equal & near, "left"
+    salts = lt.sparkSession.createDataFrame(
+        [(h, *(max(1, -(-n.get(h, 1) // rows_per_salt)) for n in (hot_left, hot_right))) for h in sorted({*hot_left, *hot_right})],
+        "_hash long, _a int, _b int",
     )
+    lt = lt.withColumn("_hash", F.xxhash64(key, "_bk")).join(F.broadcast(salts), "_hash", "left")
+    rt = rt.withColumn("_hash", F.xxhash64("_rk", "_rbk")).join(F.broadcast(salts), "_hash", "left")
+    is_hot = F.col("_a").isNotNull()
+    cold = lt.filter(~is_hot).drop("_hash", "_a", "_b").join(rt.filter(~is_hot).drop("_hash", "_a", "_b"), equal & near, "left")
     # Salts come from row numbers that a checkpoint of the hot rows fixes: a repeated task deals alike.
     deal = F.abs(F.xxhash64("_n") % 1_000_003)
     hot_l, hot_r = (checkpointed(t.filter(is_hot).withColumn("_n", F.monotonically_increasing_id())) for t in (lt, rt))
     grid_l = (
         hot_l
-        .withColumns({"_a": _salts(hot_left, rows_per_salt), "_b": _salts(hot_right, rows_per_salt)})
         .withColumn("_sa", (deal % F.col("_a")).cast("int"))
         .withColumn("_sb", F.explode(F.expr("sequence(0, _b - 1)")))
         .drop("_hash", "_a", "_b", "_n")
@@ -111,7 +101,7 @@ def _salted(
         grid_r, equal & near & (F.col("_sa") == F.col("_rsa")) & (F.col("_sb") == F.col("_rsb")), "inner"
     ).drop("_sa", "_sb", "_rsa", "_rsb")
     times = hot_r.select("_rk", "_rbk", "_rus").distinct()
-    lonely = hot_l.drop("_hash", "_n").join(times, equal & near, "left_anti")
+    lonely = hot_l.drop("_hash", "_a", "_b", "_n").join(times, equal & near, "left_anti")
     return cold.unionByName(matched).unionByName(lonely, allowMissingColumns=True)
 
 

@@ -82,6 +82,11 @@ def test_hot_buckets_are_found(spark):
     assert len(hot) == 1 and 120 < next(iter(hot.values())) < 240
 
 
+def test_hot_buckets_beyond_a_few_hundred_are_found(spark):
+    hashed = spark.range(100_000).select(F.when(F.col("id") < 30_000, F.col("id") % 300).otherwise(F.col("id")).alias("_hash"))
+    assert _hot_buckets(hashed, 100) == {h: 100 for h in range(300)}
+
+
 def test_both_ends_are_inclusive(spark):
     p = spark.createDataFrame([("M", T0)], "machine_id string, timestamp timestamp")
     offsets = [-5_000_001, -5_000_000, -1, 0, 4_999_999, 5_000_000, 5_000_001]
