@@ -83,6 +83,26 @@ def per_worker(key, make: Callable):
     return _TOOLS[key]
 
 
+class Memo(dict):
+    """Results by key while there is room; what belongs to a long key is worked out each time, so
+    that the memory held is bounded by entries times the bytes of a short key's result."""
+
+    LONGEST = 64
+
+    def __init__(self, work: Callable, entries: int, fixed: dict | None = None):
+        super().__init__(fixed or {})
+        self.work, self.entries, self.fixed = work, entries, fixed or {}
+
+    def __missing__(self, key):
+        value = self.work(key)
+        if len(key) <= self.LONGEST:
+            if len(self) >= self.entries + len(self.fixed):
+                self.clear()
+                self.update(self.fixed)
+            self[key] = value
+        return value
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a working table into the shared folder and read it back.
 

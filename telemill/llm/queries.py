@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemill.llm import decontam, jaccard, licenses, lm, packing, pii, rules, sharding, tokens, toxicity
+from telemill.llm import align, bytebpe, decontam, jaccard, licenses, lm, packing, pii, rules, sharding, tokens, toxicity
 from telemill.llm.common import remainder, table
 
 
@@ -86,11 +86,22 @@ def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (F.col("fold") == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_run_skipping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")  # the ranks are byte_bpe_50k.json's
+    return align.align(table(spark, sf_dir, "documents"), first, public_tokenizers.PATTERN, second)
+
+
+def op13_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bytebpe.decode(bytebpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_weak_supervision, op2_best_fit_packing, op3_ngram_jaccard, op4_feistel_shards, op5_rule_ledger, op6_chain_toxicity, op7_license_index,
-        op8_winnowing, op9_whole_token_counts, op10_deleted_interpolation,
+        op8_winnowing, op9_whole_token_counts, op10_deleted_interpolation, op12_run_skipping_alignment, op13_backtracking_bpe,
     )
 }
 
