@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemill.llm import align, bytebpe, decontam, jaccard, licenses, lm, packing, pii, rules, sharding, tokens, toxicity
+from telemill.llm import align, bytebpe, decontam, jaccard, licenses, lm, packing, pii, rules, sharding, tokens, toxicity, whitening
 from telemill.llm.common import remainder, table
 
 
@@ -86,6 +86,17 @@ def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (F.col("fold") == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.integers(table(spark, sf_dir, "embeddings"))
+    model = whitening.fit(rows, 4)
+    found = whitening.whiten(rows, model).select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    explained = F.element_at(F.array(*map(F.lit, model.explained)), F.col("component")) if model and model.explained else F.lit(0.0)
+    return found.withColumn("component", F.col("place") + 1).select(
+        "vec_id", "component", F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", "whitened",
+        explained.alias("explained"), F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
 def op12_run_skipping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")  # the ranks are byte_bpe_50k.json's
     return align.align(table(spark, sf_dir, "documents"), first, public_tokenizers.PATTERN, second)
@@ -101,7 +112,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_weak_supervision, op2_best_fit_packing, op3_ngram_jaccard, op4_feistel_shards, op5_rule_ledger, op6_chain_toxicity, op7_license_index,
-        op8_winnowing, op9_whole_token_counts, op10_deleted_interpolation, op12_run_skipping_alignment, op13_backtracking_bpe,
+        op8_winnowing, op9_whole_token_counts, op10_deleted_interpolation, op11_chebyshev_whitening, op12_run_skipping_alignment, op13_backtracking_bpe,
     )
 }
 
