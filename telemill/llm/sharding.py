@@ -1,6 +1,8 @@
 """Reproducible shuffle by a Feistel permutation with cycle walking over global row numbers.
 
-Rows are numbered by content: identical rows are counted once and take a range of numbers.
+Rows are numbered by content: identical rows are counted once and take a range of numbers. The
+numbering is by bucket of the rows' hash, then hash, then value; the number of buckets, a power
+of two, follows from the number of rows.
 The permuted number p gives shard p mod n and slot p div n, so that shards differ by at most one
 row, and both directions can be computed for any number without the data.
 
@@ -18,7 +20,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROUNDS = 6
-BUCKETS = 4096  # content buckets that are numbered side by side; part of the numbering
+# Content buckets are numbered side by side, so both are part of the numbering.
+LEAST_BUCKETS = 4096
+ROWS_PER_BUCKET = 200_000
 COPIES = 65_536  # copies of one row that are dealt out at a time
 
 
@@ -76,29 +80,38 @@ def row_at(shard: int, slot: int, n: int, shards: int, seed: int = 0) -> int:
     return int(Permutation(n, seed).backward([slot * shards + shard])[0])
 
 
-def numbered(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Every row with ``__number``, its place among all rows by content bucket and value.
+def buckets_for(n: int) -> int:
+    """Content buckets for n rows; the numbering depends on it, and so on n alone."""
+    return max(LEAST_BUCKETS, 1 << max(0, -(-n // ROWS_PER_BUCKET) - 1).bit_length())
+
+
+def numbered(rows: DataFrame, buckets: int) -> DataFrame:
+    """(row, number): every row as one struct with its place among all rows by content bucket and value.
 
     One shuffle of the distinct rows; a hot group of copies travels as one row with its count
     and is dealt out again in pieces.
     """
-    columns = [F.col(f"`{c}`") for c in rows.columns]
-    groups = rows.groupBy(*columns).agg(F.count("*").alias("__n"))
-    groups = groups.withColumn("__bucket", F.pmod(F.xxhash64(*columns), F.lit(buckets)))
-    base = groups.groupBy("__bucket").agg(F.sum("__n").alias("__total"))
-    before = F.sum("__total").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
-    base = base.select(F.col("__bucket"), F.coalesce(before, F.lit(0)).alias("__base"))  # at most ``buckets`` rows
-    inside = Window.partitionBy("__bucket").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("__base") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
-    placed = groups.join(F.broadcast(base), "__bucket").withColumn("__first", first)
-    chunks = F.explode(F.expr(f"sequence(0L, __n - 1, {COPIES}L)"))
-    dealt = placed.withColumn("__chunk", chunks).repartition(F.col("__first") + F.col("__chunk"))
-    each = F.explode(F.expr(f"sequence(__chunk, least(__chunk + {COPIES - 1}, __n - 1))"))
-    dealt = dealt.select(*columns, F.col("__first"), each.alias("__copy"))
-    return dealt.select(*columns, (F.col("__first") + F.col("__copy")).alias("__number"))
-
-
-def shard(rows: DataFrame, shards: int, seed: int = 0, buckets: int = BUCKETS) -> DataFrame:
+    whole = rows.select(F.struct("*").alias("row"), F.xxhash64(*[F.col(_quoted(c)) for c in rows.columns]).alias("hash"))
+    groups = whole.groupBy("row", "hash").agg(F.count("*").alias("n"))
+    groups = groups.withColumn("bucket", F.pmod("hash", F.lit(buckets)))
+    base = groups.groupBy("bucket").agg(F.sum("n").alias("total"))
+    before = F.sum("total").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    base = base.select("bucket", F.coalesce(before, F.lit(0)).alias("base"))  # at most ``buckets`` rows
+    inside = Window.partitionBy("bucket").orderBy("hash", "row").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("base") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    placed = groups.join(base, "bucket").withColumn("first", first)
+    chunks = F.explode(F.expr(f"sequence(0L, n - 1, {COPIES}L)"))
+    dealt = placed.withColumn("chunk", chunks).repartition(F.col("first") + F.col("chunk"))
+    each = F.explode(F.expr(f"sequence(chunk, least(chunk + {COPIES - 1}, n - 1))"))
+    dealt = dealt.select("row", "first", each.alias("copy"))
+    return dealt.select("row", (F.col("first") + F.col("copy")).alias("number"))
+
+
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def shard(rows: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """All rows with ``shard`` and ``slot``; counts per shard differ by at most one."""
     if clash := {"shard", "slot"} & set(rows.columns):
         raise ValueError(f"columns {sorted(clash)} would be overwritten")
@@ -108,8 +121,5 @@ def shard(rows: DataFrame, shards: int, seed: int = 0, buckets: int = BUCKETS) -
     def permuted(number: pd.Series) -> pd.Series:
         return pd.Series(Permutation(n, seed).forward(number.to_numpy()))
 
-    columns = [F.col(f"`{c}`") for c in rows.columns]
-    out = numbered(rows, buckets).withColumn("__p", permuted("__number"))
-    return out.select(
-        *columns, (F.col("__p") % shards).cast("int").alias("shard"), F.expr(f"__p div {shards}").alias("slot")
-    )
+    out = numbered(rows, buckets_for(n)).withColumn("place", permuted("number"))
+    return out.select("row.*", (F.col("place") % shards).cast("int").alias("shard"), F.expr(f"place div {shards}").alias("slot"))

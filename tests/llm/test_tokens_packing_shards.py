@@ -161,6 +161,29 @@ def test_shards_are_even_gapless_and_reproducible(spark, monkeypatch):
         sharding.shard(docs.withColumn("shard", F.lit(1)), 8)
 
 
+def test_shard_and_slot_from_first_principles(spark, monkeypatch):
+    """Numbers by bucket, hash and value, then one permutation, all in plain Python."""
+    monkeypatch.setattr(sharding, "LEAST_BUCKETS", 2)
+    monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", 10)
+    rows = [(i % 37, None if i % 11 == 0 else f"t{i % 23}") for i in range(300)]
+    table = spark.createDataFrame(rows, "a long, b string")
+    hashes = {(r.a, r.b): r.h for r in table.select("a", "b", F.xxhash64("a", "b").alias("h")).distinct().collect()}
+    buckets = sharding.buckets_for(300)
+    assert buckets == 32 and sharding.buckets_for(0) == 2 and sharding.buckets_for(321) == 64
+    order = sorted(rows, key=lambda r: (hashes[r] % buckets, hashes[r], (r[0], r[1] is not None, r[1] or "")))
+    expect = Counter((r, *sharding.locate(k, 300, 7, 3)) for k, r in enumerate(order))
+    got = Counter(((r.a, r.b), r.shard, r.slot) for r in sharding.shard(table, 7, seed=3).collect())
+    assert got == expect
+
+
+def test_any_column_name_comes_back_unchanged(spark):
+    names = ["number", "bucket", "first", "n", "copy", "chunk", "row", "hash", "place", "base", "total", "__p", "__n", "a.b", "a`b"]
+    rows = [tuple(f"{c}{i % 3}" for c in names) for i in range(9)]
+    out = sharding.shard(spark.createDataFrame(rows, names), 4)
+    assert out.columns == [*names, "shard", "slot"]
+    assert Counter(tuple(r)[: len(names)] for r in out.collect()) == Counter(rows)
+
+
 def test_queries(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").collect()
     rows = queries.op4_feistel_shards(spark, small).collect()
