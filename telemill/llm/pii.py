@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -69,7 +71,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return out
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13 and 13 <= len(d := _digits(m[0])) <= 19 and luhn(d):
@@ -182,9 +184,13 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[Candidat
     for kind in KINDS:
         if kind != "name" and not digit:
             continue
+        # Matches of one kind don't overlap each other, so only what earlier kinds took counts.
+        taken.sort()
+        starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
         for m in _LOOSE[kind].finditer(text):
             s, e = m.span()
-            if any(s < te and ts < e for ts, te in taken):
+            before = bisect_left(starts, e)
+            if before and reach[before - 1] > s:
                 continue
             words = [w.lower() for w in _BEFORE.findall(text[max(0, s - 32) : s])[-3:]]
             if kind != "name":

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import os
 import re
+import time
 
 import numpy as np
 import pytest
@@ -131,6 +132,26 @@ def test_odds_give_the_same_marginals():
     assert np.isfinite(steep).all() and (steep <= 1).all()
 
 
+def test_long_digit_runs_and_dense_texts_take_no_time():
+    start = time.perf_counter()
+    assert pii.base_spans("1.2.3." + "0" * 5000) == [("ip", 0, 5006)]
+    assert not [s for s in pii.base_spans("1.2.3." + "9" * 50_000 + " " + "7" * 50_000) if s[0] == "ip"]
+    dense = " ".join(f"Maria Garcia m{i}@example.org token=abc123def456ghi789jkl{i:06d}" for i in range(15_000))
+    base = pii.base_spans(dense)
+    found = list(pii.candidates(dense, base))
+    assert len(base) == 15_000 and sum(c.kind == "name" for c in found) == 15_000
+    assert time.perf_counter() - start < 10
+
+
+@given(st.lists(st.sampled_from(["1.2.3.4", "0" * 40, "9" * 19, ".", " ", "4111111111111111", "-", "+49 30 1234567", "x"]), max_size=30))
+@settings(max_examples=200, deadline=None)
+def test_candidates_never_meet_base_spans(pieces):
+    text = "".join(pieces)
+    base = pii.base_spans(text)
+    for c in pii.candidates(text, base):
+        assert all(c.end <= s or e <= c.start for _, s, e in base)
+
+
 BAD = ["you utter grumbleworm", "what a snotgoblin and grumbleworm you are", "snotgoblins everywhere", "such a grumblewort"]
 GOOD = [
     "a calm walk you take by the river and such", "goblins and utter calm live in old stories", "the worm turns everywhere in wet soil what are you",
