@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemill.llm import decontam, jaccard, packing, pii, toxicity
-from telemill.llm.common import remainder, table
+from telemill.llm.common import packed, remainder, table
 from telemill.session import scratch
 
 
@@ -28,10 +28,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter(F.size("spans") > 0)
-    bad = found.select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp")).distinct()
-    own = docs.withColumn("__text", F.xxhash64("text"))
-    same = own["doc_id"].eqNullSafe(bad["__id"]) & (own["__text"] == bad["__fp"])
-    return own.join(bad, same, "left_anti").drop("__text")
+    bad = found.select(F.col("doc_id").alias("bad_id"), F.col("fp").alias("bad_text")).distinct()
+    own = packed(docs)
+    same = own["id"].eqNullSafe(bad["bad_id"]) & (own["text"] == bad["bad_text"])
+    return own.join(bad, same, "left_anti").select("document.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,6 +40,12 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
 
+def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, document): whole rows in one column beside their id and the hash of their text, so
+    that helper columns can't clash with any of theirs; ``select("document.*")`` unpacks them."""
+    return docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col].cast("string")).alias("text"), F.struct("*").alias("document"))
+
+
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` for a function from one batch to dicts of columns (lists or arrays)."""
     fields = to_arrow_schema(_parse_datatype_string(schema))

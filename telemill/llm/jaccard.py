@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import arrow_map, arrow_schema, bloom, in_bloom, spread_join, stored, strings, texts
+from telemill.llm.common import arrow_map, arrow_schema, bloom, in_bloom, packed, spread_join, stored, strings, texts
 from telemill.llm.decontam import grams, word_hashes
 
 GRAM = 5
@@ -138,8 +138,8 @@ def set_hash(s: np.ndarray) -> bytes:
 
 
 def representatives(sketched: DataFrame) -> DataFrame:
-    """One row per distinct set: its smallest document, copies and MinHash values."""
-    first = F.min(F.struct("doc_id", "row", "size", "sig")).alias("r")
+    """One row per distinct set: its document of the smallest id (null last), copies and MinHash values."""
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "size", "sig")).alias("r")
     reps = sketched.filter("hash IS NOT NULL").groupBy("hash").agg(first, F.count("*").alias("copies"))
     return stored(reps.select("r.row", "r.doc_id", "hash", "r.size", "copies", "r.sig"), "representatives")
 
@@ -334,7 +334,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, gram: int) -> DataFrame:
 
 def join(docs: DataFrame, threshold: Fraction = THRESHOLD, gram: int = GRAM, tolerance: float = TOLERANCE,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row as (doc_id, fp, row, class_id, links, copies): its class and its number of links."""
+    """Every row as (doc_id, fp, row, class_row, class_id, links, copies, wordless): its class and its number of links.
+
+    ``class_row`` tells classes apart. ``class_id`` names one by the smallest of its ids that
+    isn't null (null if all are), so classes that share an id may share the name.
+    """
     docs = texts(docs, id_col, text_col)
     sketched = sketches(docs, gram)
     reps = representatives(sketched)
@@ -345,32 +349,34 @@ def join(docs: DataFrame, threshold: Fraction = THRESHOLD, gram: int = GRAM, tol
     links = found.groupBy("row").agg(F.sum("links").alias("__links"))
     classes = stored(components(found.select("row", "root")), "classes")
     names = classes.join(reps.select("row", "doc_id"), "row").groupBy("root").agg(F.min("doc_id").alias("__name"))
-    named = spread_join(classes, names, ["root"], F.col("row"), "inner").select("row", "__name")
+    named = spread_join(classes, names, ["root"], F.col("row"), "inner").select("row", "root", "__name")
     reps = reps.select("row", "hash", "copies", F.col("doc_id").alias("__own")).join(named, "row", "left").join(links, "row", "left")
-    reps = reps.select("hash", "copies", F.coalesce("__name", "__own").alias("__class"), F.coalesce("__links", F.lit(0)).alias("__links"))
+    reps = reps.select(
+        "hash", "copies", F.coalesce("root", "row").alias("__class"), F.when(F.col("root").isNull(), F.col("__own")).otherwise(F.col("__name")).alias("__name"),
+        F.coalesce("__links", F.lit(0)).alias("__links"),
+    )
     rows = spread_join(sketched.select("doc_id", "fp", "row", "hash"), reps, ["hash"], F.col("row"))
+    alone = F.col("hash").isNull()
     return rows.select(
-        "doc_id", "fp", "row", F.when(F.col("hash").isNull(), F.col("doc_id")).otherwise(F.col("__class")).alias("class_id"),
+        "doc_id", "fp", "row", F.when(alone, F.col("row")).otherwise(F.col("__class")).alias("class_row"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("__name")).alias("class_id"),
         (F.coalesce("__links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("links"), F.coalesce("copies", F.lit(1)).alias("copies"),
-        F.col("hash").isNull().alias("wordless"),
+        alone.alias("wordless"),
     )
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents with one row of each class kept (the one of the class's id); all columns stay.
+    """The documents with one row of each class kept, the one of the smallest id; all columns stay, whatever their names.
 
-    Rows without words stay. A class's row is found by id and text, so that only one of several
-    equal rows is kept.
+    Rows without words stay. A class's row is found by id and text; of rows alike in both one stays.
     """
     judged = stored(join(docs, id_col=id_col, text_col=text_col, **options), "judged")
-    first = judged.filter("NOT wordless").groupBy("class_id").agg(F.min(F.struct("doc_id", "fp", "row")).alias("f"))
-    kept = judged.filter("wordless").select("doc_id", "fp", "row").union(first.select("f.doc_id", "f.fp", "f.row"))
-    kept = stored(kept.groupBy(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp")).agg(F.count("*").alias("__keep")), "kept")
-    own = docs.withColumn("__text", F.xxhash64(docs[text_col].cast("string")))
-    out = own.join(kept, own[id_col].eqNullSafe(kept["__id"]) & (own["__text"] == kept["__fp"]), "left_semi")
-    repeated = judged.groupBy("doc_id", "fp").agg(F.count("*").alias("n"), F.max("wordless").alias("w")).filter("n > 1 AND NOT w").limit(1).count()
-    if repeated:  # equal rows of one id: only then a row more than wanted could stay
-        wordless = judged.filter("wordless").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp")).distinct()
-        same = out[id_col].eqNullSafe(wordless["__id"]) & (out["__text"] == wordless["__fp"])
-        out = out.join(wordless, same, "left_anti").dropDuplicates([id_col, "__text"]).unionByName(out.join(wordless, same, "left_semi"))
-    return out.drop("__text")
+    first = judged.filter("NOT wordless").groupBy("class_row").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("f"))
+    kept = stored(first.select(F.col("f.doc_id").alias("id"), F.col("f.fp").alias("text")), "kept")
+    wordless = judged.filter("wordless").select(F.col("doc_id").alias("id"), F.col("fp").alias("text")).distinct()
+    whole = packed(docs, id_col, text_col)
+    alike = lambda other: whole["id"].eqNullSafe(other["id"]) & whole["text"].eqNullSafe(other["text"])
+    with_words = whole.join(kept, alike(kept), "left_semi")
+    if judged.filter("NOT wordless").groupBy("doc_id", "fp").count().filter("count > 1").limit(1).count():
+        with_words = with_words.dropDuplicates(["id", "text"])  # only rows alike in both can be too many
+    return with_words.unionByName(whole.join(wordless, alike(wordless), "left_semi")).select("document.*")

@@ -76,6 +76,29 @@ def test_join_empty(spark):
     assert jaccard.join(documents(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_classes_that_share_an_id_stay_apart(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(12)) for w in ("alpha", "one", "red")]
+    docs = documents(spark, texts, [5, 5, 6])
+    assert sorted(r.text for r in jaccard.deduplicated(docs).collect()) == sorted(texts)
+    rows = jaccard.join(docs).collect()
+    assert [r.links for r in rows] == [0, 0, 0] and len({r.class_row for r in rows}) == 3
+
+
+def test_null_ids_lose_no_document(spark):
+    same = "a b c d e f g h i j k"
+    docs = documents(spark, [same, same, None, "x"], [None, 1, None, None])
+    rows = jaccard.deduplicated(docs).collect()
+    assert sorted((r.text or "", r.doc_id or 0) for r in rows) == [("", 0), (same, 1), ("x", 0)]
+    named = {(r.doc_id, r.links): r.class_id for r in jaccard.join(docs).collect()}
+    assert named[1, 1] == named[None, 1] == 1
+
+
+def test_deduplicated_keeps_clashing_columns(spark):
+    docs = documents(spark, ["a b c d e f g"] * 3 + ["x"]).withColumns({c: F.lit(c) for c in ("__text", "id", "document", "row", "fp", "hash", "__keep")})
+    rows = jaccard.deduplicated(docs).collect()
+    assert len(rows) == 2 and all(r["__text"] == "__text" and r["document"] == "document" and r["id"] == "id" for r in rows)
+
+
 def test_deduplicated_keeps_one_of_each_class(spark):
     texts = AWKWARD + near_copies(5) + ["same words again and again now"] * 4
     ids = [*range(len(AWKWARD) + 5), 90, 90, 90, 91]
