@@ -20,15 +20,32 @@ SECOND = 1_000_000
 TOLERANCE_S = 5
 HOT_ROWS = 200_000
 ROWS_PER_SALT = 50_000
+MAX_BROADCAST_BUCKETS = 100_000  # hot buckets, some 40 bytes each
+LOOKUP_COPIES = 16
 
 
-def _hot_buckets(hashed: DataFrame, at_least: int) -> dict[int, int]:
-    """Rows of each bucket hash that holds at least ``at_least`` rows, counted exactly.
+def _hot_buckets(left: DataFrame, right: DataFrame, key: str, hot_rows: int, rows_per_salt: int) -> DataFrame:
+    """(_hk, _hb, _a, _b): the buckets with ``hot_rows`` rows or more on a side, and both sides' salts.
 
-    Counts are summed up before the shuffle. There are at most rows / ``at_least`` of them.
+    Counts are exact and summed up before the shuffle; the table stays distributed.
     """
-    counts = hashed.groupBy("_hash").agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
-    return {r["_hash"]: r["n"] for r in counts.collect()}
+    sides = [
+        rows.groupBy(F.col(k).alias("_hk"), F.col(b).alias("_hb")).agg(F.count("*").alias("n")).filter(F.col("n") >= hot_rows)
+        .select("_hk", "_hb", *[(F.ceil(F.col("n") / rows_per_salt) if c == own else F.lit(1)).cast("int").alias(c) for c in ("_a", "_b")])
+        for rows, k, b, own in ((left, key, "_bk", "_a"), (right, "_rk", "_rbk", "_b"))
+    ]
+    return sides[0].unionByName(sides[1]).groupBy("_hk", "_hb").agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
+
+
+def _with_salts(rows: DataFrame, salts: DataFrame, count: int, key: str, bucket: str) -> DataFrame:
+    """Every row with its bucket's salts, NULL in cold ones. Few buckets are broadcast; of more, each is
+    repeated a few times and the rows, which may be a third under one key, are dealt over the copies."""
+    if count <= MAX_BROADCAST_BUCKETS:
+        return rows.join(F.broadcast(salts), (F.col(key) == F.col("_hk")) & (F.col(bucket) == F.col("_hb")), "left").drop("_hk", "_hb")
+    rows = checkpointed(rows.withColumn("_deal", (F.monotonically_increasing_id() % LOOKUP_COPIES).cast("int")))
+    copies = salts.withColumn("_copy", F.explode(F.expr(f"sequence(0, {LOOKUP_COPIES - 1})")))
+    same = (F.col(key) == F.col("_hk")) & (F.col(bucket) == F.col("_hb")) & (F.col("_deal") == F.col("_copy"))
+    return rows.join(copies.hint("merge"), same, "left").drop("_hk", "_hb", "_deal", "_copy")
 
 
 def interval_join(
@@ -54,34 +71,25 @@ def interval_join(
     near = F.col("_us").between(F.col("_rus") - tol, F.col("_rus") + tol)
     equal = (F.col(key) == F.col("_rk")) & (F.col("_bk") == F.col("_rbk"))
 
-    hot_left = _hot_buckets(lt.select(F.xxhash64(key, "_bk").alias("_hash")), hot_rows)
-    hot_right = _hot_buckets(rt.select(F.xxhash64("_rk", "_rbk").alias("_hash")), hot_rows)
-    if not hot_left and not hot_right:
-        joined = lt.join(rt, equal & near, "left")
-    else:
-        joined = _salted(lt, rt, key, equal, near, hot_left, hot_right, rows_per_salt)
+    salts = checkpointed(_hot_buckets(lt, rt, key, hot_rows, rows_per_salt))
+    count = salts.count()
+    joined = _salted(lt, rt, key, equal, near, salts, count, tolerance_s) if count else lt.join(rt, equal & near, "left")
     return joined.select(*left_cols, *[F.col(f"_r_{c}").alias(c) for c in right_cols])
 
 
 def _salted(
-    lt: DataFrame, rt: DataFrame, key: str, equal: Column, near: Column,
-    hot_left: dict[int, int], hot_right: dict[int, int], rows_per_salt: int,
+    lt: DataFrame, rt: DataFrame, key: str, equal: Column, near: Column, salts: DataFrame, count: int, tolerance_s: int
 ) -> DataFrame:
     """The same join with hot buckets cut into a grid of salts.
 
     Within a hot bucket the left rows are dealt to ``a`` salts and the right rows
     to ``b``; each side is repeated over the other's salts, so every pair meets
-    in exactly one of the ``a * b`` cells. Unmatched rows of hot buckets are found
-    against the distinct right times, which copies cannot inflate.
+    in exactly one of the ``a * b`` cells. Which left times have no right row in range
+    follows from running totals over distinct times, which copies cannot inflate.
     """
-    salts = lt.sparkSession.createDataFrame(
-        [(h, *(max(1, -(-n.get(h, 1) // rows_per_salt)) for n in (hot_left, hot_right))) for h in sorted({*hot_left, *hot_right})],
-        "_hash long, _a int, _b int",
-    )
-    lt = lt.withColumn("_hash", F.xxhash64(key, "_bk")).join(F.broadcast(salts), "_hash", "left")
-    rt = rt.withColumn("_hash", F.xxhash64("_rk", "_rbk")).join(F.broadcast(salts), "_hash", "left")
+    lt, rt = _with_salts(lt, salts, count, key, "_bk"), _with_salts(rt, salts, count, "_rk", "_rbk")
     is_hot = F.col("_a").isNotNull()
-    cold = lt.filter(~is_hot).drop("_hash", "_a", "_b").join(rt.filter(~is_hot).drop("_hash", "_a", "_b"), equal & near, "left")
+    cold = lt.filter(~is_hot).drop("_a", "_b").join(rt.filter(~is_hot).drop("_a", "_b"), equal & near, "left")
     # Salts come from row numbers that a checkpoint of the hot rows fixes: a repeated task deals alike.
     deal = F.abs(F.xxhash64("_n") % 1_000_003)
     hot_l, hot_r = (checkpointed(t.filter(is_hot).withColumn("_n", F.monotonically_increasing_id())) for t in (lt, rt))
@@ -89,19 +97,22 @@ def _salted(
         hot_l
         .withColumn("_sa", (deal % F.col("_a")).cast("int"))
         .withColumn("_sb", F.explode(F.expr("sequence(0, _b - 1)")))
-        .drop("_hash", "_a", "_b", "_n")
+        .drop("_a", "_b", "_n")
     )
     grid_r = (
         hot_r
         .withColumn("_rsb", (deal % F.col("_b")).cast("int"))
         .withColumn("_rsa", F.explode(F.expr("sequence(0, _a - 1)")))
-        .drop("_hash", "_a", "_b", "_n")
+        .drop("_a", "_b", "_n")
     )
     matched = grid_l.join(
         grid_r, equal & near & (F.col("_sa") == F.col("_rsa")) & (F.col("_sb") == F.col("_rsb")), "inner"
     ).drop("_sa", "_sb", "_rsa", "_rsb")
-    times = hot_r.select("_rk", "_rbk", "_rus").distinct()
-    lonely = hot_l.drop("_hash", "_a", "_b", "_n").join(times, equal & near, "left_anti")
+    met = hot_l.select(F.col(key).alias("_tk"), F.col("_us").alias("us"), F.lit(0).alias("seen")).union(hot_r.select("_rk", "_rus", F.lit(1)))
+    # A right row stands in every bucket it reaches, so a left time of a hot bucket finds all of its range here.
+    totals = nearby_sums(met.groupBy("_tk", "us").agg(F.max("seen").alias("seen")), ["seen"], "_tk", "us", tolerance_s)
+    alone = totals.filter("near_seen = 0").select("_tk", F.col("us").alias("_tu"))
+    lonely = hot_l.drop("_a", "_b", "_n").join(alone, (F.col(key) == F.col("_tk")) & (F.col("_us") == F.col("_tu")), "left_semi")
     return cold.unionByName(matched).unionByName(lonely, allowMissingColumns=True)
 
 

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from telemill.catalog import ALL
-from telemill.operators.intervaljoin import _hot_buckets, interval_join, nearest_join
+from telemill.operators import intervaljoin
+from telemill.operators.intervaljoin import interval_join, nearest_join
 from telemill.operators.ordered import micros
 from telemill.plans import dashboard as d
 from telemill.sources.schema import SENSORS
@@ -75,16 +76,40 @@ def test_one_sided_heat(spark, left_hot, right_hot):
     assert got.filter("event_id IS NULL").count() == len(a) - both["lid"].nunique()
 
 
-def test_hot_buckets_are_found(spark):
-    p, _ = frames(spark, hot=0.4)
-    hashed = p.select(F.xxhash64("machine_id", F.floor(micros(p, "timestamp") / 10_000_000)).alias("_hash"))
-    hot = _hot_buckets(hashed, 50)
-    assert len(hot) == 1 and 120 < next(iter(hot.values())) < 240
+def buckets(df, key, bucket):
+    return df.withColumn(bucket, F.floor(micros(df, "timestamp") / 10_000_000)).withColumnRenamed("machine_id", key)
 
 
-def test_hot_buckets_beyond_a_few_hundred_are_found(spark):
-    hashed = spark.range(100_000).select(F.when(F.col("id") < 30_000, F.col("id") % 300).otherwise(F.col("id")).alias("_hash"))
-    assert _hot_buckets(hashed, 100) == {h: 100 for h in range(300)}
+def test_hot_buckets_and_their_salts(spark):
+    p, e = frames(spark, hot=0.4, readings=100)
+    (row,) = intervaljoin._hot_buckets(buckets(p, "machine_id", "_bk"), buckets(e, "_rk", "_rbk"), "machine_id", 50, 30).collect()
+    assert row["_hk"] == "M0" and 4 < row["_a"] <= 8 and row["_b"] == 1
+
+
+@pytest.mark.parametrize("most", [100_000, 0], ids=["broadcast", "dealt"])
+def test_many_hot_buckets_reach_no_driver(spark, monkeypatch, most):
+    """100,000 hot buckets, half of the left rows without a match, and no row collected."""
+    monkeypatch.setattr(intervaljoin, "MAX_BROADCAST_BUCKETS", most)
+    start = F.lit(T0).cast("timestamp")
+    at = lambda df, s: df.select(F.concat(F.lit("M"), F.col("id") % 5).alias("machine_id"), (start + F.make_dt_interval(secs=s)).alias("timestamp"), "id")
+    p = at(spark.range(100_000), F.col("id") * 10)
+    e = at(spark.range(0, 100_000, 2), F.col("id") * 10 + 1)
+    with monkeypatch.context() as m:
+        m.setattr(type(p), "collect", lambda self: pytest.fail("rows were collected"))
+        joined = interval_join(p.withColumnRenamed("id", "lid"), e, ["id"], hot_rows=1, rows_per_salt=1)
+        assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString() or most
+    found = joined.agg(F.count("*"), F.count("id"), F.sum((F.col("id") == F.col("lid")).cast("int"))).first()
+    assert tuple(found) == (100_000, 50_000, 50_000)
+
+
+@pytest.mark.parametrize("hot", [0.35, 0.9])
+def test_dealt_lookup_gives_the_same_pairs(spark, monkeypatch, hot):
+    monkeypatch.setattr(intervaljoin, "MAX_BROADCAST_BUCKETS", 0)
+    p, e = frames(spark, hot=hot)
+    a, both = brute(p, e)
+    got = interval_join(p, e, ["event_id"], hot_rows=5, rows_per_salt=7)
+    assert got.filter("event_id IS NOT NULL").count() == len(both)
+    assert got.filter("event_id IS NULL").count() == len(a) - both["lid"].nunique()
 
 
 def test_both_ends_are_inclusive(spark):
