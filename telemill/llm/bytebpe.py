@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from telemill.llm.common import Memo, arrow_map, per_worker, strings, texts
 
 PIECES = 250_000  # encoded pieces kept per worker
-PAIRS = 1_000_000  # judged pairs of tokens kept per worker
+PAIRS = 400_000  # judged pairs of tokens kept per worker
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -71,18 +71,59 @@ class Codec:
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
         self._shorter: dict[int, int | None] = {}
+        self._steps: dict[int, tuple] = {}
         self._agree: dict[tuple[int, int], bool] = {}
 
+    def steps(self, token: int) -> tuple[list[int], list[bytes], list[bytes]]:
+        """How a token is merged: the rank of each step, and the first and the last part before each
+        step and at the end. Steps end with an endless rank."""
+        if token not in self._steps:
+            body, never = self.tokens[token], len(self.ranks)
+            parts = [body[i : i + 1] for i in range(len(body))]
+            ranks, first, last = [], [parts[0]], [parts[-1]]
+            while len(parts) > 1:
+                joined = [self.ranks.get(a + b, never) for a, b in zip(parts, parts[1:])]
+                at = joined.index(min(joined))
+                if joined[at] == never:
+                    break
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                ranks.append(joined[at])
+                first.append(parts[0])
+                last.append(parts[-1])
+            self._steps[token] = [*ranks, never], first, last
+        return self._steps[token]
+
     def agree(self, left: int, right: int) -> bool:
-        """Whether merging leaves the two tokens as they are when one follows the other."""
+        """Whether merging leaves the two tokens as they are when one follows the other.
+
+        Until a merge crosses the border, each side's steps are those it takes alone, the lower rank
+        first and the left side first of equals; so they are played against each other, and the
+        pair at the border must never be next.
+        """
         found = self._agree.get((left, right))
         if found is None:
             if len(self._agree) >= PAIRS:
                 self._agree.clear()
-            a, b = self.tokens[left], self.tokens[right]
-            found = self._agree[left, right] = merged(a + b, self.ranks) == [a, b]
+            found = self._agree[left, right] = self._border_holds(left, right)
         return found
 
+    def _border_holds(self, left: int, right: int) -> bool:
+        (mine, _, last), (theirs, first, _) = self.steps(left), self.steps(right)
+        never = len(self.ranks)
+        if last[-1] != self.tokens[left] or first[-1] != self.tokens[right]:
+            return False  # a token that merges never make
+        i = j = 0
+        while True:
+            crossing = self.ranks.get(last[i] + first[j], never)
+            if crossing < mine[i] and crossing <= theirs[j] and crossing < never:
+                return False
+            if mine[i] == theirs[j] == never:
+                return True
+            if mine[i] <= theirs[j]:
+                i += 1
+            else:
+                j += 1
+
     def shorter(self, token: int) -> int | None:
         """The longest token that begins this one."""
         if token not in self._shorter:
