@@ -3,12 +3,15 @@
 ``fit`` learns from at most ``SAMPLE`` labelled documents (those with the smallest hash of their
 id; the bound keeps the labels broadcastable):
 
-1. words and word beginnings are counted by label, and each gets a cautious log-odds (its lower
-   confidence bound); a word's level is that of its strongest part;
+1. words and word beginnings are counted by label and fold, and each gets a cautious log-odds (its
+   lower confidence bound); a word's level is that of its strongest part;
 2. tokens of toxic documents at a high level are labelled toxic, all others not;
 3. a two-state chain is trained on windows of labelled tokens by its exact gradient
-   (forward-backward); observations are the levels of a word and its neighbours;
-4. a logistic curve maps a document's marginals to the probability of its label.
+   (forward-backward); observations are the levels of a word and its neighbours as the other folds
+   know them, so the chain learns from words that its lexicon misses. All windows count, equal ones
+   as one with a weight;
+4. a logistic curve maps a document's marginals, by the other folds' lexicon as well, to the
+   probability of its label: what it is fitted on are texts the lexicon has not seen.
 
 ``score`` runs forward-backward over whole texts, in batches of similar length, and gives the
 score and the spans of words whose marginal passes one half.
@@ -34,8 +37,7 @@ from pyspark.sql import functions as F
 from telemill.llm.common import PLAIN_WORD, arrow_map, logistic_weights, per_worker, strings, texts
 
 SAMPLE = 20_000  # labelled documents to learn from
-LEXICON = 20_000  # word parts kept, strongest first
-WINDOWS = 6_000  # training windows of the chain
+FOLDS = 5
 WINDOW = 48  # words of a window
 LEVELS = (0.7, 1.4, 2.1, 2.8)  # log-odds bounds between levels
 LABELLED = 2  # tokens from this level on are labelled toxic in toxic documents
@@ -93,8 +95,8 @@ def potentials(levels: np.ndarray, emission: np.ndarray) -> np.ndarray:
     return emission[0][before] + emission[1][levels] + emission[2][after]
 
 
-def forward_backward(u: np.ndarray, lengths: np.ndarray, transition: np.ndarray):
-    """Marginals of the toxic state (0 beyond a text's end), expected transitions and the log partition."""
+def forward_backward(u: np.ndarray, lengths: np.ndarray, transition: np.ndarray, weight: np.ndarray | None = None):
+    """Marginals of the toxic state (0 beyond a text's end), expected transitions (of weighted rows) and the log partition."""
     rows, steps = u.shape
     inside = np.arange(steps)[None, :] < lengths[:, None]
     e = np.stack([np.ones_like(u), np.exp(np.clip(u, -30, 30))], 2)
@@ -113,7 +115,7 @@ def forward_backward(u: np.ndarray, lengths: np.ndarray, transition: np.ndarray)
         live = inside[:, k + 1]
         joint = alpha[:, k, :, None] * t * message[:, None, :]
         joint /= joint.sum((1, 2), keepdims=True)
-        expected += joint[live].sum(0)
+        expected += (joint if weight is None else joint * weight[:, None, None])[live].sum(0)
         back = message @ t.T
         back /= back.sum(1, keepdims=True) / 2
         beta[:, k] = np.where(live[:, None], back, 1.0)
@@ -149,26 +151,31 @@ def marginals(levels: np.ndarray, lengths: np.ndarray, emission: np.ndarray, tra
     return forward.T
 
 
-def train_chain(levels: np.ndarray, lengths: np.ndarray, labels: np.ndarray, steps: int = 60, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """Emission and transition weights by ascent along the exact gradient of the likelihood."""
+def train_chain(
+    levels: np.ndarray, lengths: np.ndarray, labels: np.ndarray, steps: int = 60, ridge: float = 1.0, weight: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Emission and transition weights by ascent along the exact gradient of the likelihood; ``weight``
+    says how often each window is there."""
+    weight = np.ones(len(levels)) if weight is None else weight.astype(float)
     inside = np.arange(levels.shape[1])[None, :] < lengths[:, None]
     size = len(LEVELS) + 1
     before, after = np.zeros_like(levels), np.zeros_like(levels)
     before[:, 1:], after[:, :-1] = levels[:, :-1], levels[:, 1:]
 
-    def sums(weight):
-        return np.stack([np.bincount(x[inside], weight[inside], minlength=size) for x in (before, levels, after)])
+    def sums(values):
+        values = (values * weight[:, None])[inside]
+        return np.stack([np.bincount(x[inside], values, minlength=size) for x in (before, levels, after)])
 
     y = labels * inside
     follows = inside[:, 1:]
-    seen_pairs = np.array([[((y[:, :-1] == a) & (y[:, 1:] == b) & follows).sum() for b in (0, 1)] for a in (0, 1)])
+    seen_pairs = np.array([[(((y[:, :-1] == a) & (y[:, 1:] == b) & follows).sum(1) * weight).sum() for b in (0, 1)] for a in (0, 1)])
     seen = sums(y.astype(float))
     weights = np.zeros(3 * size + 4)
     mean, square = np.zeros_like(weights), np.zeros_like(weights)
-    total = max(1, int(inside.sum()))
+    total = max(1.0, float((inside.sum(1) * weight).sum()))
     for step in range(1, steps + 1):
         emission, transition = weights[: 3 * size].reshape(3, size), weights[3 * size :].reshape(2, 2)
-        marginal, expected, _ = forward_backward(potentials(levels, emission), lengths, transition)
+        marginal, expected, _ = forward_backward(potentials(levels, emission), lengths, transition, weight)
         gradient = np.concatenate(((seen - sums(marginal)).ravel(), (seen_pairs - expected).ravel())) - ridge * weights
         gradient /= total
         mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
@@ -215,51 +222,74 @@ def _labelled(docs: DataFrame, labels: DataFrame, allowed, sample: int, label_co
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
     bad = sum(r["y"] == 1 for r in chosen)
     side = docs.sparkSession.createDataFrame([(r["doc_id"], r["y"]) for r in chosen], marked.schema)
-    return docs.join(F.broadcast(side), "doc_id"), len(chosen) - bad, bad
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
+    return docs.join(F.broadcast(side), "doc_id").select("text", "y", fold), len(chosen) - bad, bad
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed=lambda doc_id: F.lit(True), sample: int = SAMPLE,
         id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn from the labelled documents whose id passes ``allowed``."""
     rows, good, bad = _labelled(texts(docs, id_col, text_col), labels, allowed, sample, label_col)
-    rows = rows.select("text", "y")
     if not good or not bad:
         return Model(curve=np.array([np.log((bad + 1e-6) / (good + 1e-6)) if good + bad else -30.0, 0, 0, 0, 0, 0]))
+    labelled = {(r["fold"], r["y"]): r["n"] for r in rows.groupBy("fold", "y").agg(F.count("*").alias("n")).collect()}
 
     def counted(batch):
-        seen = [Counter(), Counter()]
-        for text, y in zip(strings(batch.column(0)), batch.column(1).to_pylist()):
-            seen[y].update({p for w in set(_words.findall(lowered(text))) for p in parts(w)})
-        names = list(seen[0].keys() | seen[1].keys())
-        yield {"part": names, "clean": [seen[0][p] for p in names], "toxic": [seen[1][p] for p in names]}
-
-    counts = arrow_map(rows, counted, "part string, clean long, toxic long").groupBy("part").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    odds = F.log((F.col("t") + 0.5) / (bad + 1)) - F.log((F.col("c") + 0.5) / (good + 1))
-    cautious = odds - CAUTION * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-    strong = counts.filter(F.col("t") >= MIN_DOCS).select("part", cautious.alias("odds")).filter(F.col("odds") > LEVELS[0])
-    lexicon = {r["part"]: int(np.searchsorted(LEVELS, r["odds"])) for r in strong.orderBy(F.desc("odds"), "part").limit(LEXICON).collect()}
-    model = Model(levels=lexicon, name=hashlib.sha256(repr(sorted(lexicon.items())).encode()).hexdigest())
+        seen = [[Counter(), Counter()] for _ in range(FOLDS)]
+        for text, y, fold in zip(strings(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            seen[fold][y].update({p for w in set(_words.findall(lowered(text))) for p in parts(w)})
+        names = [list(clean.keys() | toxic.keys()) for clean, toxic in seen]
+        yield {
+            "part": [p for own in names for p in own], "fold": [f for f, own in enumerate(names) for _ in own],
+            **{name: [seen[f][y][p] for f, own in enumerate(names) for p in own] for y, name in enumerate(("clean", "toxic"))},
+        }
+
+    counts = arrow_map(rows, counted, "part string, fold int, clean long, toxic long").groupBy("part").agg(
+        F.sum("clean").alias("c"), F.sum("toxic").alias("t"),
+        *[F.coalesce(F.sum(F.when(F.col("fold") == f, F.col(name))), F.lit(0)).alias(f"{name}{f}") for f in range(FOLDS) for name in ("clean", "toxic")],
+    )
+
+    def cautious(t, c, n_toxic, n_clean):
+        odds = F.log((t + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1)) - CAUTION * F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
+        return F.when((t >= MIN_DOCS) & (odds > LEVELS[0]), odds)
+
+    without = [
+        cautious(F.col("t") - F.col(f"toxic{f}"), F.col("c") - F.col(f"clean{f}"), bad - labelled.get((f, 1), 0), good - labelled.get((f, 0), 0))
+        for f in range(FOLDS)
+    ]
+    odds = [cautious(F.col("t"), F.col("c"), bad, good), *without]
+    names = [f"o{k}" for k in range(FOLDS + 1)]
+    strong = counts.select("part", *[o.alias(name) for o, name in zip(odds, names)]).filter(F.coalesce(*names).isNotNull())
+    lexicons: list[dict[str, int]] = [{} for _ in odds]  # of all folds, and of all but each
+    for r in strong.collect():  # parts of several toxic documents of the sample
+        for own, name in zip(lexicons, names):
+            if r[name] is not None:
+                own[r["part"]] = int(np.searchsorted(LEVELS, r[name]))
+    model = Model(levels=lexicons[0], name=hashlib.sha256(repr(sorted(lexicons[0].items())).encode()).hexdigest())
 
     def windows(batch):
-        level, out = Levels(lexicon), []
-        for text, y in zip(strings(batch.column(0)), batch.column(1).to_pylist()):
-            x = level.of(text)
+        levels, out = [Levels(own) for own in lexicons], Counter()
+        for text, y, fold in zip(strings(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            x, label = levels[fold + 1].of(text), (levels[0].of(text) >= LABELLED) & (y == 1)
             for at in range(0, len(x), WINDOW):
-                own = x[at : at + WINDOW]
-                if own.any() or not (len(x) + at // WINDOW) % 16:  # and some without any sign
-                    out.append((own.tobytes(), ((own >= LABELLED) & (y == 1)).astype(np.int8).tobytes()))
-        yield {"x": [a for a, _ in out], "y": [b for _, b in out]}
+                out[x[at : at + WINDOW].tobytes(), label[at : at + WINDOW].astype(np.int8).tobytes()] += 1
+        yield {"x": [a for a, _ in out], "y": [b for _, b in out], "n": list(out.values())}
 
-    picked = arrow_map(rows, windows, "x binary, y binary").orderBy(F.xxhash64("x", "y"), "x", "y").limit(WINDOWS).collect()
+    # Equal windows, most of them without any sign, meet before they travel; the order makes sums repeatable.
+    picked = sorted(arrow_map(rows, windows, "x binary, y binary, n long").groupBy("x", "y").agg(F.sum("n").alias("n")).collect())
     if picked:
         lengths = np.array([len(r["x"]) for r in picked])
         x, y = (np.zeros((len(picked), WINDOW), np.int64) for _ in range(2))
         for k, r in enumerate(picked):
             x[k, : lengths[k]], y[k, : lengths[k]] = np.frombuffer(r["x"], np.int8), np.frombuffer(r["y"], np.int8)
-        model.emission, model.transition = train_chain(x, lengths, y)
+        model.emission, model.transition = train_chain(x, lengths, y, weight=np.array([r["n"] for r in picked]))
 
     def seen(batch):
-        x, _ = _documents(model, Levels(lexicon), list(strings(batch.column(0))), False)
+        texts_, folds = list(strings(batch.column(0))), batch.column(2).to_numpy(zero_copy_only=False)
+        x = np.zeros((len(texts_), 6))
+        for f in np.unique(folds):
+            own = np.flatnonzero(folds == f)
+            x[own], _ = _documents(model, Levels(lexicons[f + 1]), [texts_[i] for i in own], False)
         yield {"x": list(x), "y": batch.column(1)}
 
     points = arrow_map(rows, seen, "x array<double>, y int").collect()  # at most ``sample`` rows
