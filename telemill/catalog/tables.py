@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telemill.catalog.base import RAW_SQL, WITH_PRED, WITH_RAW, Query, predictions, r6, raw, table, tidy
+from telemill.catalog.base import NOW, RAW_SQL, WITH_PRED, WITH_RAW, Query, now, predictions, r6, raw, table, tidy
 from telemill.plans import ingest
+from telemill.plans.dashboard import hourly_by_machine
 from telemill.session import scratch
 from telemill.sources import tables as io
 from telemill.sources.schema import EVENT_SCHEMA, PREDICTION_TABLE_SCHEMA, SENSORS, align
@@ -70,6 +71,20 @@ def _ingested(s, p):
     return tidy(loaded.select("event_id", "machine_id", "timestamp", "temperature", "temperature_zscore", "hour_of_day", "event_date"), 5)
 
 
+def _landed(s, p):
+    """Scored rows landed twice, a later part once more, then the hourly rates from the landed table."""
+    root = scratch(s, "landed")
+    scored = predictions(s, p).withColumn("timestamp", F.col("timestamp").cast("timestamp")).drop("event_date")
+    ingest.land_predictions(scored.filter("NOT is_anomaly"), root)
+    ingest.land_predictions(scored, root)
+    landed = _local(io.read_table(s, f"{root}/{ingest.PREDICTIONS}"))
+    return tidy(hourly_by_machine(landed, now()), 2)
+
+
+def _local(df):
+    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 QUERIES = [
     Query("s1_csv_scan", _csv, WITH_RAW + _EVENTS),
     Query("s2_table_scan", lambda s, p: tidy(io.read_table(s, f"{p}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity")),
@@ -88,6 +103,11 @@ SELECT event_id, machine_id, timestamp, {_ROUNDED}, is_simulated_anomaly, CAST(y
     Query("s11_align", lambda s, p: tidy(align(predictions(s, p), PREDICTION_TABLE_SCHEMA)), WITH_PRED + f"""
 SELECT machine_id, timestamp, is_anomaly, {r6('anomaly_score', 'anomaly_score')}, {r6('confidence', 'confidence')},
        CAST(NULL AS VARCHAR) AS features_used, event_date FROM pred"""),
+    Query("s13_landed_rates", _landed, WITH_PRED + f"""
+SELECT date_trunc('hour', timestamp) AS hour_bucket, machine_id, COUNT(*) AS total_events,
+       CAST(SUM(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_count,
+       ROUND(SUM(CASE WHEN is_anomaly THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 2) + 0.0 AS anomaly_rate_pct
+FROM pred WHERE timestamp >= {NOW} - INTERVAL 7 DAY GROUP BY 1, 2"""),
     Query("s13_ingest", _ingested, WITH_RAW + f"""
 SELECT event_id, machine_id, timestamp, {r6('temperature', 'temperature', 5)},
        {r6('(temperature - (SELECT avg(temperature) FROM raw)) / (SELECT stddev_samp(temperature) FROM raw)', 'temperature_zscore', 5)},

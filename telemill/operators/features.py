@@ -37,18 +37,20 @@ def rolling(
     return over_preceding(df, outputs, cols, window, order, keys, rows_per_bucket)
 
 
-def zscores(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def zscores(df: DataFrame, cols: Sequence[str], known: DataFrame | None = None) -> DataFrame:
     """Distance from the column's mean in sample standard deviations.
 
-    A zero deviation counts as 1e-9; an undefined one gives NULL.
+    A zero deviation counts as 1e-9; an undefined one gives NULL. ``known`` is one row of
+    ``<col>_mean`` and ``<col>_std``; without it they are taken from the rows.
     """
     stats = F.col(STATS)
+    known = mean_and_std(df, cols) if known is None else known
 
     def z(c: str) -> Column:
         std = stats[f"{c}_std"]
         return (F.col(c) - stats[f"{c}_mean"]) / F.when(std == 0, F.lit(1e-9)).otherwise(std)
 
-    return beside(df, mean_and_std(df, cols)).withColumns({f"{c}_zscore": z(c) for c in cols}).drop(STATS)
+    return beside(df, known).withColumns({f"{c}_zscore": z(c) for c in cols}).drop(STATS)
 
 
 def outlier_flags(df: DataFrame, cols: Sequence[str], threshold: float = 3.0) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -63,6 +65,35 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/telemill/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a working table; only paths that ``scratch`` gave are taken."""
+    if not path.startswith(f"{shared_dir(spark)}/telemill/"):
+        raise ValueError(f"{path} is no working table")
+    delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def working(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder for working tables that are needed no longer than the block runs."""
+    path = scratch(spark, name)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
+def written(df, path: str):
+    """The rows, written to a working table and read back: later plans start from the files."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df):
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
