@@ -20,7 +20,6 @@ gives no rows. Only the id and text columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,60 +29,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemill.llm.bytebpe import read_ranks
-from telemill.llm.common import Memo, arrow_schema, as_batch, per_worker, stored, texts
-from telemill.llm.packing import SEGMENTS
+from telemill.llm.common import arrow_schema, as_batch, per_worker, stored, texts
 from telemill.llm.tokens import SPACE, proven
 
 BLOCK = 16 << 20  # characters of text per block, about
-CACHE = 150_000  # encoded words kept per worker and side
+LARGE = 4096  # links of a group from which on they are counted by distinct ids
 SHIFT = 32  # a pair of ids as one number: the first above, the second below
 
 
 class RankTokenizer:
-    """Byte-level BPE by a file of ranks and a pattern; cuts before white space first, which no piece spans."""
+    """Byte-level BPE by a file of ranks and a pattern."""
 
     def __init__(self, path: str, pattern: str):
         ranks = read_ranks(path)
-        own = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.ids = Memo(own.encode_ordinary, CACHE)
+        self.encode = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.bytes = sorted(ranks, key=ranks.get)
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.ids.__getitem__, SEGMENTS(" " + text))))
-
 
 class PieceTokenizer:
-    """A sentence-piece model, which puts a blank before the text; cut where no piece spans."""
+    """A sentence-piece model that leaves texts as they are, but for writing blanks as ``SPACE``, and puts a blank before them."""
 
     def __init__(self, path: str):
-        sp, pattern, _ = proven(path)
-        self.cut = pattern.findall
-        self.ids = Memo(lambda word: sp.encode("\n" + word)[2:], CACHE)
+        sp, _, _ = proven(path)  # raises for a model that changes its input
+        self.encode = sp.encode
         names = [(i, sp.id_to_piece(i)) for i in range(sp.get_piece_size())]
         self.bytes = [bytes([int(name[3:-1], 16)]) if sp.is_byte(i) else name.replace(SPACE, " ").encode() for i, name in names]
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.ids.__getitem__, self.cut(" " + text.replace(SPACE, " "))))) if text else []
-
 
 class Pair:
-    """Two tokenizers with the byte lengths and the written form of their tokens."""
+    """Two tokenizers with the byte lengths and the written forms of their tokens."""
 
-    def __init__(self, first, second):
+    def __init__(self, first: RankTokenizer, second: PieceTokenizer):
         self.sides = (first, second)
-        self.sizes = [list(map(len, side.bytes)) for side in self.sides]
-        self.written = list(map(str, range(max(map(len, self.sizes)))))
-
-    def tokens(self, text: str) -> tuple[list[int], list[int], list[int], list[int]]:
-        """Both sides' ids and ends; none if either side's bytes aren't the blank and the text."""
-        if text:
-            whole = (" " + text).encode()
-            a, b = (side.encode(text) for side in self.sides)
-            ends_a, ends_b = (list(accumulate(map(size.__getitem__, ids))) for size, ids in zip(self.sizes, (a, b)))
-            # The first side's tokens are stretches of the text in order, so their length tells; the other's are compared.
-            if ends_a[-1] == len(whole) and b"".join(map(self.sides[1].bytes.__getitem__, b)) == whole:
+        self.sizes = [np.array(list(map(len, side.bytes)), np.int64) for side in self.sides]
+        self.ids = max(map(len, self.sizes))
+        self.written = [f"{i}{mark}" for mark in ",|;" for i in range(self.ids)]
+
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Both sides' ids and ends; none if either side's bytes aren't the blank and the text.
+
+        Both sides' tokens are stretches of it in order, so lengths tell; the one thing that the
+        second changes is its own sign for a blank.
+        """
+        if text and SPACE not in text:
+            a, b = (np.array(side.encode(t), np.int64) for side, t in zip(self.sides, (" " + text, text)))
+            ends_a, ends_b = self.sizes[0][a].cumsum(), self.sizes[1][b].cumsum()
+            size = len(text.encode()) + 1
+            if ends_a[-1] == size and ends_b[-1] == size:
                 return a, b, ends_a, ends_b
-        return [], [], [], []
+        return (np.zeros(0, np.int64),) * 4
 
 
 def pair_of(ranks: str, pattern: str, pieces: str) -> Pair:
@@ -110,7 +104,7 @@ def stretches(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int,
     """
     i = j = 0
     while i < len(a):
-        n = run_length(a, i, b, j)
+        n = run_length(a, i, b, j) if a[i] == b[j] else 0
         if n:
             yield i, j, n, n, True
             i, j = i + n, j + n
@@ -125,36 +119,46 @@ def stretches(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int,
             i, j = p + 1, q + 1
 
 
+def groups_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First tokens and numbers of tokens, of either side, of every group."""
+    found = np.array(list(stretches(ends_a.tolist(), ends_b.tolist())), np.int64).reshape(-1, 5)
+    i, j, n, m, single = found.T
+    runs = np.where(single, n, 1)
+    at = np.repeat(np.arange(len(runs)), runs)
+    step = (np.arange(len(at)) - np.repeat(runs.cumsum() - runs, runs)) * single[at]
+    return i[at] + step, j[at] + step, np.where(single, 1, n)[at], np.where(single, 1, m)[at]
+
+
 def links(own: Pair, text: str) -> tuple[int, int, np.ndarray, np.ndarray, int, str]:
     """Numbers of tokens, distinct linked pairs (as one number each), their links, groups and the groups' text."""
     a, b, ends_a, ends_b = own.tokens(text)
-    text_a, text_b = ([*map(own.written.__getitem__, ids)] for ids in (a, b))
-    left, right, written, groups = [], [], [], 0
-    large: list[tuple[np.ndarray, np.ndarray]] = []
-    for i, j, n, m, single in stretches(ends_a, ends_b):
-        if single:
-            groups += n
-            left += a[i : i + n]
-            right += b[j : j + n]
-            written += map("|".join, zip(text_a[i : i + n], text_b[j : j + n]))
-            continue
-        groups += 1
-        written.append(f"{','.join(text_a[i : i + n])}|{','.join(text_b[j : j + m])}")
-        if n == 1:
-            left += a[i : i + 1] * m
-            right += b[j : j + m]
-        elif n * m <= 64:
-            left += [x for x in a[i : i + n] for _ in range(m)]
-            right += b[j : j + m] * n
-        else:
-            (x, nx), (y, ny) = (np.unique(np.array(ids, np.int64), return_counts=True) for ids in (a[i : i + n], b[j : j + m]))
-            large.append((((x << SHIFT)[:, None] | y).ravel(), (nx[:, None] * ny).ravel()))
-    keys, numbers = np.unique((np.array(left, np.int64) << SHIFT) | np.array(right, np.int64), return_counts=True)
-    if large:
+    i, j, n, m = groups_of(ends_a, ends_b)
+    codes = np.empty(len(a) + len(b), np.int64)  # tokens with the mark that follows, in the order of the groups' text
+    group_a, group_b = np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)
+    number_a, number_b = np.arange(len(a)), np.arange(len(b))
+    codes[number_a + j[group_a]] = a + own.ids * (number_a == (i + n - 1)[group_a])
+    codes[number_b + (i + n)[group_b]] = b + 2 * own.ids * (number_b == (j + m - 1)[group_b])
+    written = "".join(map(own.written.__getitem__, codes.tolist()))[:-1]
+
+    size = n * m
+    few = size <= LARGE
+    if not few.all():
+        large = [_distinct(a[x : x + p], b[y : y + q]) for x, y, p, q in zip(*(v[~few] for v in (i, j, n, m)))]
+        i, j, m, size = i[few], j[few], m[few], size[few]
+    at = np.repeat(np.arange(len(size)), size)
+    within = np.arange(len(at)) - np.repeat(size.cumsum() - size, size)
+    keys, numbers = np.unique((a[i[at] + within // m[at]] << SHIFT) | b[j[at] + within % m[at]], return_counts=True)
+    if not few.all():
         every = np.concatenate([keys, *(k for k, _ in large)])
         keys, at = np.unique(every, return_inverse=True)
-        numbers = _summed(at, np.concatenate([numbers, *(n for _, n in large)]), len(keys))
-    return len(a), len(b), keys, numbers, groups, ";".join(written)
+        numbers = _summed(at, np.concatenate([numbers, *(c for _, c in large)]), len(keys))
+    return len(a), len(b), keys, numbers, len(n), written
+
+
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a large group from its distinct ids, and their links."""
+    (x, nx), (y, ny) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
+    return ((x << SHIFT)[:, None] | y).ravel(), (nx[:, None] * ny).ravel()
 
 
 def _summed(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
