@@ -12,6 +12,7 @@ from __future__ import annotations
 import sys
 from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -252,54 +253,110 @@ def running_totals(
     )
 
 
-def exact_quantiles(
-    df: DataFrame, col: str, probs: Sequence[float], direct_rows: int = 1_000_000
-) -> list[float | None]:
-    """Linear-interpolated quantiles of a numeric column, exact at any size.
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], direct_rows: int = 1_000_000) -> list[float | None]:
+    """Linear-interpolated quantiles of one numeric column, exact at any size."""
+    return quantiles_of(df, [col], probs, direct_rows)[col]
 
-    Small columns use the built-in exact aggregate. Large ones are narrowed by
-    approximate quantiles to a range that holds the wanted rank, until that
-    range has few distinct values; only range edges and counts reach the driver.
+
+def quantiles_of(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], direct_rows: int = 1_000_000
+) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles of numeric columns, exact at any size, all columns and shares together.
+
+    Tables of up to ``direct_rows`` use the built-in exact aggregate. Beyond, one pass brackets every
+    wanted rank by approximate quantiles, one counts what lies below and inside the brackets, and, when
+    all hold ``direct_rows`` rows or fewer, one ranks their distinct values; larger brackets are
+    narrowed once more first. Three passes do for thousands of times ``direct_rows``. Only edges and
+    counts reach the driver.
     """
-    values = df.select(F.col(col).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
-    total = values.count()
-    if total == 0:
-        return [None for _ in probs]
-    if total <= direct_rows:
-        row = values.agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in probs])).alias("q")).first()
-        return list(row["q"])
-
-    def value_at(rank: int) -> float:
-        """The value with ``rank`` smaller-or-equal predecessors (0-based)."""
-        part, inside, skipped = values, total, 0
-        while inside > direct_rows:
-            p = (rank - skipped) / inside
-            edges = part.agg(F.percentile_approx(
-                "v", F.array(F.lit(max(0.0, p - 1e-3)), F.lit(min(1.0, p + 1e-3))), 10_000
-            ).alias("e")).first()["e"]
-            low, high = edges
-            counts = part.agg(
-                F.count_if(F.col("v") < low).alias("under"),
-                F.count_if(F.col("v").between(low, high)).alias("within"),
-            ).first()
-            under, within = counts["under"], counts["within"]
-            if not skipped + under <= rank < skipped + under + within:
-                break
-            if low == high:
-                return low
-            if within == inside:
-                break
-            part, inside, skipped = part.filter(F.col("v").between(low, high)), within, skipped + under
-        counted = part.groupBy("v").agg(F.count("*").alias("n"))
-        ranked = running_totals(counted, ["n"], ["v"], direct_rows)
-        want = rank - skipped
-        return ranked.filter((F.col("n_before") <= want) & (F.col("n_before") + F.col("n") > want)).first()["v"]
-
-    found = []
-    for p in probs:
-        position = p * (total - 1)
-        low = int(position)
-        a = value_at(low)
-        b = value_at(low + 1) if position > low else a
-        found.append(a + (b - a) * (position - low))
-    return found
+    names = list(dict.fromkeys(cols))
+    number = [F.col(c).cast("double") for c in names]
+    values = df.select(*[F.when(~F.isnan(v), v).alias(f"v{k}") for k, v in enumerate(number)])
+    counts = values.agg(*[F.count(v).alias(v) for v in values.columns]).first()
+    totals = {v: counts[v] for v in values.columns}
+    if not totals:
+        return {}
+    if max(totals.values()) <= direct_rows:
+        wanted = F.array(*[F.lit(float(p)) for p in probs])
+        row = values.agg(*[F.percentile(v, wanted).alias(v) for v in values.columns]).first()
+        return {c: [None] * len(probs) if not totals[v] else list(row[v]) for c, v in zip(names, values.columns)}
+
+    brackets = [_Bracket(v, int(p * (n - 1)), p * (n - 1), n) for v, n in totals.items() if n for p in probs]
+    while wide := [b for b in brackets if b.inside > direct_rows and b.shrinks]:
+        _narrow(values, wide)
+    found = iter(_ranked(values, brackets, direct_rows))
+    return {c: [next(found) if totals[v] else None for _ in probs] for c, v in zip(names, values.columns)}
+
+
+@dataclass
+class _Bracket:
+    """A range of a column's values that holds the rank wanted and the next one."""
+
+    column: str
+    rank: int
+    position: float
+    inside: int
+    under: int = 0
+    low: float | None = None  # None: open
+    high: float | None = None
+    shrinks: bool = True
+
+    @property
+    def last(self) -> int:
+        return self.rank + (self.position > self.rank)
+
+    def holds(self) -> Column:
+        v = F.col(self.column)
+        return v.isNotNull() if self.low is None else v.between(self.low, self.high)
+
+
+REACH, ACCURACY = 3e-4, 10_000  # half a bracket's share of the rows, and the sketch's: one in so many
+
+
+def _narrow(values: DataFrame, brackets: list[_Bracket]) -> None:
+    """Smaller brackets for all, in two passes over the values."""
+    def share(b: _Bracket, rank: int, by: float) -> Column:
+        return F.lit(min(1.0, max(0.0, (rank - b.under) / b.inside + by)))
+
+    edges = values.agg(*[
+        F.percentile_approx(F.when(b.holds(), F.col(b.column)), F.array(share(b, b.rank, -REACH), share(b, b.last, REACH)), ACCURACY).alias(f"e{k}")
+        for k, b in enumerate(brackets)
+    ]).first()
+    counts = values.agg(*[
+        x for k, b in enumerate(brackets)
+        for x in (F.count_if(F.col(b.column) < edges[k][0]).alias(f"u{k}"), F.count_if(F.col(b.column).between(*edges[k])).alias(f"n{k}"))
+    ]).first()
+    for k, b in enumerate(brackets):
+        under, inside = counts[f"u{k}"], counts[f"n{k}"]
+        if under <= b.rank and b.last < under + inside and inside < b.inside:
+            b.low, b.high, b.under, b.inside = *edges[k], under, inside
+            b.shrinks = b.low < b.high
+        else:
+            b.shrinks = False  # ties or a sketch off its mark: ranked as it is
+
+
+def _ranked(values: DataFrame, brackets: list[_Bracket], direct_rows: int) -> list[float]:
+    """The quantile of each bracket from its distinct values and their counts."""
+    single = {k: b.low for k, b in enumerate(brackets) if b.low is not None and b.low == b.high}
+    small = [k for k, b in enumerate(brackets) if k not in single and b.inside <= direct_rows]
+    found = {k: (v, v) for k, v in single.items()}
+    if small:
+        own = F.array(*[F.struct(F.lit(k).alias("k"), F.when(brackets[k].holds(), F.col(brackets[k].column)).alias("v")) for k in small])
+        rows = values.select(F.explode(F.filter(own, lambda x: x.v.isNotNull())).alias("x"))
+        counted = rows.groupBy("x.k", "x.v").agg(F.count("*").alias("n"))
+        # At most ``direct_rows`` values a bracket.
+        upto = F.sum("n").over(Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        ends = counted.withColumn("upto", upto)
+        rank, last = (
+            F.element_at(F.create_map(*[F.lit(x) for k in small for x in (k, r(brackets[k]))]), F.col("k"))
+            for r in (lambda b: b.rank - b.under, lambda b: b.last - b.under)
+        )
+        at = lambda r: F.min(F.when(F.col("upto") > r, F.col("v")))
+        found |= {r["k"]: (r["a"], r["b"]) for r in ends.groupBy("k").agg(at(rank).alias("a"), at(last).alias("b")).collect()}
+    for k, b in enumerate(brackets):
+        if k not in found:  # many ties in a large bracket: a distributed running total over its distinct values
+            counted = values.filter(b.holds()).groupBy(F.col(b.column).alias("v")).agg(F.count("*").alias("n"))
+            totals = running_totals(counted, ["n"], ["v"], direct_rows)
+            at = [totals.filter((F.col("n_before") <= r) & (F.col("n_before") + F.col("n") > r)).first()["v"] for r in (b.rank - b.under, b.last - b.under)]
+            found[k] = tuple(at)
+    return [a + (b - a) * (x.position - x.rank) for (a, b), x in zip((found[k] for k in range(len(brackets))), brackets)]

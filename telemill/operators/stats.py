@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemill.operators.clean import STATS, beside
-from telemill.operators.ordered import exact_quantiles, micros
+from telemill.operators.ordered import micros, quantiles_of
 from telemill.sources.schema import LABEL, SENSORS
 
 
@@ -62,11 +62,12 @@ def describe(
     """count, mean, std, min, quartiles and max per column.
 
     The quartiles are exact. Up to ``exact_rows`` they ride in the same pass;
-    beyond that each column's quartiles are narrowed down separately, because
+    beyond that those of all columns are narrowed down together, because
     the one-pass form would hold all distinct values in memory.
     """
     probs = [0.25, 0.5, 0.75]
-    small = df.limit(exact_rows + 1).count() <= exact_rows
+    small = df.count() <= exact_rows
+    narrowed = {} if small else quantiles_of(df, cols, probs)
     aggs = []
     for c in cols:
         aggs += [
@@ -77,7 +78,7 @@ def describe(
             aggs.append(F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(f"q_{c}"))
     quartiles = {
         c: [F.col(f"q_{c}")[i] for i in range(3)] if small
-        else [F.lit(v).cast("double") for v in exact_quantiles(df, c, probs)]
+        else [F.lit(v).cast("double") for v in narrowed[c]]
         for c in cols
     }
 

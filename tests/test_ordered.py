@@ -10,7 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from telemill.operators.features import enrich, rolling, zscores
-from telemill.operators.ordered import bucketed, exact_quantiles, forward_fill, over_preceding, running_totals
+from telemill.operators.ordered import bucketed, exact_quantiles, forward_fill, over_preceding, quantiles_of, running_totals
+from telemill.operators import ordered
 
 
 def series(spark, n=3000, seed=1, hot=0.0, hot_null=0.0, machines=3):
@@ -118,6 +119,26 @@ def test_quantile_of_nothing(spark):
     assert exact_quantiles(spark.createDataFrame([], "v double"), "v", [0.5]) == [None]
 
 
+@pytest.mark.parametrize("reach", [3e-4, 2e-2])
+def test_many_columns_take_few_passes(spark, monkeypatch, reach):
+    """Eighteen columns and four shares, ties and nulls among them, against numpy; passes are counted."""
+    monkeypatch.setattr(ordered, "REACH", reach)
+    monkeypatch.setattr(ordered, "ACCURACY", 2000)
+    n = 60_000
+    kinds = [F.rand(k) if k % 3 else F.floor(F.rand(k) * 5) if k % 2 else F.when(F.rand(k) < 0.9, F.randn(k)) for k in range(17)]
+    df = spark.range(n).select(*[x.cast("double").alias(f"c{k}") for k, x in enumerate(kinds)], F.lit(None).cast("double").alias("none"))
+    df = spark.createDataFrame(df.toPandas().astype(object).where(lambda x: x.notna(), None), df.schema).repartition(4).cache()
+    local, probs, passes = df.toPandas(), [0.0, 0.25, 0.333, 1.0], []
+    first = type(df).first
+    monkeypatch.setattr(type(df), "first", lambda self: passes.append(1) or first(self))
+    got = quantiles_of(df, df.columns, probs, direct_rows=3000)
+    assert got["none"] == [None] * 4
+    for c in df.columns[:-1]:
+        values = local[c].dropna().astype(float)
+        assert np.allclose(got[c], np.quantile(values, probs), atol=1e-12), c
+    assert len(passes) <= 3 + 4  # counts, brackets twice at most; single tied brackets read once more
+
+
 def test_enrichment_edges(spark):
     one = series(spark, 1)
     row = enrich(one.withColumn("x", F.lit(3.0))).first()
