@@ -63,6 +63,15 @@ def _compacted(s, p):
     return tidy(io.read_table(s, path).select(*_COLUMNS, "event_date"))
 
 
+def _compacted_in_place(s, p):
+    path = scratch(s, "worn")
+    rows = raw(s, p)
+    io.write_table(rows.filter("day(timestamp) > 10"), path)
+    rows.filter("day(timestamp) <= 10").repartition(6, "event_id").write.mode("append").partitionBy("event_date").parquet(path)
+    io.compact_in_place(s, path, rows_per_file=2500)
+    return tidy(io.read_table(s, path).select(*_COLUMNS, "event_date"))
+
+
 def _ingested(s, p):
     root = scratch(s, "ingest")
     lines = io.encode_events(raw(s, p).select(*_COLUMNS)).select("value")
@@ -98,6 +107,7 @@ SELECT event_id, machine_id, timestamp, {_ROUNDED}, is_simulated_anomaly, CAST(y
        CAST(month(timestamp) AS INT) AS month, CAST(day(timestamp) AS INT) AS day FROM raw"""),
     Query("s7_json_sink", _json_round_trip, WITH_RAW + _EVENTS),
     Query("s9_compact", _compacted, WITH_RAW + _DATED),
+    Query("s9_compact_in_place", _compacted_in_place, WITH_RAW + _DATED),
     Query("s10_require_rows", lambda s, p: tidy(io.require_rows(raw(s, p), 100).agg(F.count("*").alias("n"))),
           WITH_RAW + "SELECT count(*) AS n FROM raw"),
     Query("s11_align", lambda s, p: tidy(align(predictions(s, p), PREDICTION_TABLE_SCHEMA)), WITH_PRED + f"""

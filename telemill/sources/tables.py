@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telemill.session import working, written
 from telemill.sources.schema import EVENT_SCHEMA, PARTITION, nan_to_null
 
 
@@ -164,3 +165,34 @@ def compact(
         .partitionBy(PARTITION)
         .parquet(path)
     )
+
+
+def fragmented_dates(spark: SparkSession, path: str, rows_per_file: int = 5_000_000, slack: float = 2.0) -> list:
+    """Dates with more than ``slack`` times the files that their rows need; read from the files' footers."""
+    files = read_table(spark, path).groupBy(PARTITION, F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+    dates = files.groupBy(PARTITION).agg(F.count("*").alias("files"), F.sum("rows").alias("rows"))
+    worn = dates.filter(F.col("files") > slack * F.ceil(F.col("rows") / rows_per_file))
+    return [r[0] for r in worn.select(PARTITION).collect()]  # one value a date
+
+
+def compact_in_place(
+    spark: SparkSession, path: str, rows_per_file: int = 5_000_000, slack: float = 2.0,
+    machine: str = "machine_id", ts: str = "timestamp", tie: str = "event_id",
+) -> list:
+    """Rewrite only the fragmented dates of a table, clustered on (machine, time); returns these dates.
+
+    Their rows are copied to a working table first, so that the table is never read while it is
+    overwritten; other dates keep their files.
+    """
+    dates = fragmented_dates(spark, path, rows_per_file, slack)
+    if not dates:
+        return []
+    rows = read_table(spark, path)
+    dated = [d for d in dates if d is not None]
+    worn = F.col(PARTITION).isin(dated) | F.col(PARTITION).isNull() if None in dates else F.col(PARTITION).isin(dated)
+    with working(spark, "compacted") as staged:
+        again = written(rows.filter(worn), staged)
+        files = max(1, -(-again.count() // rows_per_file))
+        again = again.repartitionByRange(files, PARTITION, machine, ts, tie).sortWithinPartitions(PARTITION, machine, ts)
+        again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
+    return dates

@@ -78,6 +78,24 @@ def test_compaction_narrows_files(spark, sf_dir):
     assert back.select(df.columns).exceptAll(df).count() == 0 and back.count() == df.count()
 
 
+def test_only_fragmented_dates_are_rewritten_in_place(spark):
+    from pathlib import Path
+
+    path = scratch(spark, "worn")
+    for day in (1, 2):
+        io.write_table(events(spark, 40, day=day).coalesce(1), path)
+    events(spark, 60, day=3).repartition(7).transform(io.with_event_date).write.mode("append").partitionBy("event_date").parquet(path)
+    io.write_table(spark.createDataFrame([("x", "M1", None)], "event_id string, machine_id string, timestamp timestamp"), path)
+    folder = Path(path.removeprefix("file:"))
+    files = lambda: {str(f.relative_to(folder)) for f in folder.glob("event_date=*/*.parquet")}
+    before, rows = files(), sorted(map(str, io.read_table(spark, path).collect()))
+    assert [d.day for d in io.compact_in_place(spark, path)] == [3]
+    kept, added = before & files(), files() - before
+    assert {f.split("/")[0][-2:] for f in before - kept} == {"03"} and len(added) == 1
+    assert sorted(map(str, io.read_table(spark, path).collect())) == rows
+    assert io.compact_in_place(spark, path) == []
+
+
 def test_load_twice_is_the_same_as_once(spark):
     root = scratch(spark, "load")
     ingest.run(lines(events(spark)).union(spark.createDataFrame([("{bad",)], "value string")), root)
