@@ -68,6 +68,20 @@ def _metric_series(s, p):
     return tidy(series.select("name", "namespace", "time", "min", "max", "sum", "count"))
 
 
+SUMMARIES = WITH_PRED + f"""
+SELECT period_start, period_start + INTERVAL 1 HOUR AS period_end, total, anomalies, {r6('rate', 'rate')},
+       CASE WHEN rate >= 0.2 THEN 'critical' WHEN rate >= 0.1 THEN 'warning' ELSE 'info' END AS severity,
+       CASE WHEN rate >= 0.1 THEN 'Elevated' ELSE 'Normal' END AS status
+FROM (SELECT date_trunc('hour', timestamp) AS period_start, count(*) AS total, count(*) FILTER (is_anomaly) AS anomalies,
+             count(*) FILTER (is_anomaly) / CAST(count(*) AS DOUBLE) AS rate FROM pred GROUP BY 1)"""
+# Spells of anomalies: a new one starts after more than ten minutes without any.
+EPISODES = WITH_PRED + f""", a AS (SELECT machine_id, timestamp AS t, anomaly_score FROM pred WHERE is_anomaly AND timestamp IS NOT NULL),
+g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY machine_id ORDER BY t) <= INTERVAL 10 MINUTE THEN 0 ELSE 1 END AS fresh FROM a),
+n AS (SELECT *, sum(fresh) OVER (PARTITION BY machine_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS spell FROM g)
+SELECT machine_id, min(t) AS opened, max(t) AS last_anomaly, count(*) AS anomalies, {r6('max(anomaly_score)', 'worst_score')},
+       CASE WHEN max(anomaly_score) >= 0.8 THEN 'CRITICAL' WHEN max(anomaly_score) >= 0.5 THEN 'WARNING' ELSE 'LOW' END AS severity
+FROM n GROUP BY machine_id, spell"""
+
 QUERIES = [
     Query("a1_report_stats", lambda s, p: tidy(stats.report_stats(table(s, p, "lineitem"), _WIDE)),
           "WITH g AS (SELECT (" + " + ".join(f"sum({c})" for c in _WIDE) + ") / (" + " + ".join(f"count({c})" for c in _WIDE)
@@ -147,18 +161,14 @@ SELECT {r6('precision', 'precision')}, {r6('recall', 'recall')}, {r6('f1', 'f1')
 w AS (SELECT t - INTERVAL 1 MINUTE * k AS window_start, sum(s) / sum(n) AS value FROM m, range(0, 5) AS r(k) GROUP BY 1)
 SELECT 'high-temperature' AS alert_name, 2 AS severity, window_start, window_start + INTERVAL 5 MINUTE AS window_end, {r6('value', 'value')}
 FROM w WHERE value > 100"""),
-    Query("x6_period_summaries", lambda s, p: tidy(alerts.period_summaries(predictions(s, p)).drop("payload")), WITH_PRED + f"""
-SELECT period_start, period_start + INTERVAL 1 HOUR AS period_end, total, anomalies, {r6('rate', 'rate')},
-       CASE WHEN rate >= 0.2 THEN 'critical' WHEN rate >= 0.1 THEN 'warning' ELSE 'info' END AS severity,
-       CASE WHEN rate >= 0.1 THEN 'Elevated' ELSE 'Normal' END AS status
-FROM (SELECT date_trunc('hour', timestamp) AS period_start, count(*) AS total, count(*) FILTER (is_anomaly) AS anomalies,
-             count(*) FILTER (is_anomaly) / CAST(count(*) AS DOUBLE) AS rate FROM pred GROUP BY 1)"""),
+    Query("x6_period_summaries", lambda s, p: tidy(alerts.period_summaries(predictions(s, p)).drop("payload")), SUMMARIES),
     Query("x7_anomaly_alerts", lambda s, p: tidy(
         alerts.anomaly_alerts(dashboard.prediction_view(predictions(s, p), raw(s, p))).drop("payload", "html")
     ), WITH_VIEW + f"""
 SELECT machine_id, prediction_time, {r6('anomaly_score', 'anomaly_score')}, {', '.join(r6(c, c) for c in SENSORS)},
        CASE WHEN anomaly_score >= 0.8 THEN 'CRITICAL' WHEN anomaly_score >= 0.5 THEN 'WARNING' ELSE 'LOW' END AS severity,
        '[ALERT] Anomaly detected on ' || machine_id AS subject FROM v WHERE is_anomaly"""),
+    Query("x7_alert_episodes", lambda s, p: tidy(alerts.alert_episodes(predictions(s, p)).drop("payload")), EPISODES),
     Query("x7_alert_payloads", lambda s, p: alerts.anomaly_alerts(dashboard.prediction_view(predictions(s, p), raw(s, p))).select(
         "machine_id", "prediction_time", "payload", "html"
     )),

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemill.catalog.base import WITH_PRED, WITH_RAW, WITH_VIEW, Query, predictions, r6, raw, repeated, tidy
+from telemill.catalog.statistics import EPISODES, SUMMARIES
 from telemill.ml.forest import ForestParams, fit
 from telemill.ml.scoring import prepare
-from telemill.operators.alerts import metric_alerts
+from telemill.operators.alerts import alert_episodes, metric_alerts, period_summaries
 from telemill.plans import ingest
 from telemill.session import scratch
 from telemill.sources.schema import EVENT_SCHEMA, SENSORS, align
@@ -77,6 +78,14 @@ def _alerts(s, p):
     return tidy(_finish(s, metric_alerts(_readings(s, p), "temperature", 100.0, "high-temperature"), "alerts").drop("description"))
 
 
+def _summaries(s, p):
+    return tidy(_finish(s, period_summaries(_predictions(s, p)), "summaries").drop("payload"))
+
+
+def _episodes(s, p):
+    return tidy(_finish(s, alert_episodes(_predictions(s, p)), "episodes").drop("payload"))
+
+
 def _joined(s, p):
     rows = _finish(s, st.interval_join_stream(_predictions(s, p), _readings(s, p)), "joined")
     return tidy(rows.filter("machine_id <> 'closing'"))
@@ -111,6 +120,8 @@ SELECT date_trunc('minute', timestamp) AS t, sum(temperature) AS s, count(temper
 w AS (SELECT t - INTERVAL 1 MINUTE * k AS window_start, sum(s) / sum(n) AS value FROM m, range(0, 5) AS r(k) GROUP BY 1)
 SELECT 'high-temperature' AS alert_name, 2 AS severity, window_start, window_start + INTERVAL 5 MINUTE AS window_end, {r6('value', 'value')}
 FROM w WHERE value > 100"""),
+    Query("x6_stream_summaries", _summaries, SUMMARIES),
+    Query("x7_stream_episodes", _episodes, EPISODES),
     Query("x8_stream_interval_join", _joined, WITH_VIEW + f"""
 SELECT machine_id, prediction_time, is_anomaly, {r6('anomaly_score', 'anomaly_score')}, {r6('confidence', 'confidence')}, {_ROUNDED} FROM v"""),
 ]

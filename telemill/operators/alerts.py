@@ -156,3 +156,29 @@ def anomaly_alerts(joined: DataFrame, sensors: Sequence[str] = SENSORS, ts: str
         F.concat(F.lit("[ALERT] Anomaly detected on "), F.col("machine_id")).alias("subject"),
         alert_html(F.col("machine_id"), F.col("anomaly_score"), F.col(ts), sensors).alias("html"),
     )
+
+
+def alert_episodes(predictions: DataFrame, cool_down_minutes: int = 10, ts: str = "timestamp") -> DataFrame:
+    """One alert per machine and spell of anomalies: open until ``cool_down_minutes`` pass without another.
+
+    Works on tables and on watermarked streams; a stream keeps one open spell a machine as its
+    state and emits it when the watermark has passed its cool-down. Anomalies without a machine
+    share the NULL machine's alerts; those without a time belong to none.
+    """
+    # One condition on both columns stays above a watermark on the time, which quiet rows must move as well.
+    anomalies = predictions.filter(F.when(F.col("is_anomaly"), F.col(ts)).isNotNull())
+    spells = anomalies.groupBy(F.session_window(ts, f"{cool_down_minutes} minutes").alias("w"), "machine_id").agg(
+        F.count("*").alias("anomalies"), F.max("anomaly_score").alias("worst_score")
+    )
+    last = F.col("w.end") - F.make_dt_interval(mins=F.lit(cool_down_minutes))
+    rows = spells.select(
+        "machine_id", F.col("w.start").alias("opened"), last.alias("last_anomaly"), "anomalies", "worst_score",
+        score_severity(F.col("worst_score")).alias("severity"),
+    )
+    facts = [
+        fact("Machine ID", F.col("machine_id")), fact("Anomaly Score", fixed(F.col("worst_score"), 4)), fact("Anomalies", F.col("anomalies")),
+        fact("Time", F.date_format("opened", "yyyy-MM-dd'T'HH:mm:ss")),
+    ]
+    level = F.when(F.col("severity") == "CRITICAL", "critical").when(F.col("severity") == "WARNING", "warning").otherwise("info")
+    payload = card(ANOMALY_TITLE, F.concat(F.lit("Anomaly detected on "), F.col("machine_id")), facts, level, F.col("opened"))
+    return rows.withColumn("payload", payload)

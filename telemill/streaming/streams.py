@@ -83,7 +83,7 @@ def ingest(lines: DataFrame, root: str, checkpoint: str, **trigger) -> Streaming
     """Land a stream of JSON lines in the raw table, each event id once.
 
     Copies inside a batch collapse on the map side; ids stored earlier are found
-    by an anti join with the dates concerned. That also covers a repeated batch.
+    by the index beside the table. That also covers a repeated batch.
     """
     return each_batch(lines, lambda batch, _: load_lines(batch, root), checkpoint, **trigger)
 

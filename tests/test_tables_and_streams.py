@@ -227,3 +227,34 @@ def test_scoring_stream_repeats_without_copies(spark):
     done = spark.read.parquet(out)
     assert done.count() == 200 and done.select("event_id").distinct().count() == 200
     assert done.filter("confidence < 0 OR confidence > 1").count() == 0
+
+
+EPISODE_ROWS = [
+    ("M1", 0, True, 0.4), ("M1", 300, True, 0.9), ("M1", 900, True, 0.2), ("M1", 1501, True, 0.6), ("M1", 1600, False, 1.0),
+    ("M2", 100, False, 0.9), ("M2", 5000, True, 0.3), ("M1", 1501, True, 0.1), (None, 50, True, 0.5), ("M3", None, True, 0.9),
+]
+
+
+def test_alert_episodes_follow_the_cool_down(spark):
+    from telemill.operators.alerts import alert_episodes
+
+    start = datetime(2024, 1, 1)
+    rows = [(m, None if s is None else start + timedelta(seconds=s), a, x, 0.0) for m, s, a, x in EPISODE_ROWS]
+    found = alert_episodes(spark.createDataFrame(rows, PREDICTION)).collect()
+    at = lambda t: int((t - start).total_seconds())
+    assert sorted((r.machine_id or "", at(r.opened), at(r.last_anomaly), r.anomalies, r.worst_score, r.severity) for r in found) == [
+        ("", 50, 50, 1, 0.5, "WARNING"), ("M1", 0, 900, 3, 0.9, "CRITICAL"), ("M1", 1501, 1501, 2, 0.6, "WARNING"), ("M2", 5000, 5000, 1, 0.3, "LOW"),
+    ]
+    assert all("Anomaly detected on" in r.payload for r in found if r.machine_id)
+
+
+def test_episodes_and_summaries_over_several_batches_and_a_restart(spark, sf_dir, scored_lines):
+    from telemill.operators.alerts import alert_episodes, period_summaries
+
+    batch = predictions(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    for make in (alert_episodes, period_summaries):
+        out, progress = scratch(spark, "out"), scratch(spark, "cp")
+        for _ in range(2):  # the second start finds all done
+            stream = make(prediction_stream(spark, scored_lines))
+            st.to_table(stream, out, progress).awaitTermination()
+        assert same(spark.read.schema(stream.schema).parquet(out), make(batch))
