@@ -4,8 +4,9 @@ A row's rolling statistics depend on the rows just before it, so a new row chang
 and the next ``window - 1`` rows, wherever they lie. Row counts per date (and key) tell which
 dates those are, and which dates before them hold the rows they look back on; only these dates
 are read, and only the changed ones rewritten. Z-scores depend on all rows through two numbers
-a column: every date keeps its count, mean and sum of squared deviations, which merge exactly, and
-the scores are made from the merged numbers when the table is read. So a load rewrites no old date for them.
+a column: every date keeps its count, mean and sum of squared deviations, which merge exactly. The
+stored scores are those at the time their date was written; ``processed`` gives all by the merged
+numbers of now. So a load rewrites no old date for them.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def _moments_path(root: str, window: int, keys: Sequence[str]) -> str:
 
 def refresh(
     spark: SparkSession, raw_path: str, processed_path: str, root: str, window: int = 10, keys: Sequence[str] = (),
-    order: Sequence[str] = ORDER, rows_per_bucket: int = ROWS_PER_BUCKET, as_of: Column | None = None,
+    order: Sequence[str] = ORDER, rows_per_bucket: int = ROWS_PER_BUCKET, as_of: Column | None = None, threshold: float = 3.0,
 ) -> list:
     """Enrich the dates that loads have changed since the last refresh; returns the dates rewritten.
 
@@ -114,7 +115,9 @@ def refresh(
             dates, reach = dates_to_do(read_table(spark, path).select(PARTITION, *keys, "rows"), changed, window, keys)
             rows = raw.filter(on_dates(reach))
         done = calendar_parts(rolling(rows, cols, window, order, keys, rows_per_bucket))
-        done = stamp_ingestion(done if dates is None else done.filter(on_dates(dates)), as_of)
+        done = done if dates is None else done.filter(on_dates(dates))
+        done = zscores(done, cols, merged(read_table(spark, path), cols))
+        done = stamp_ingestion(outlier_flags(done, cols, threshold), as_of)
         write_table(done, processed_path, mode="overwrite")
         dates = [r[0] for r in fresh.select(PARTITION).distinct().collect()] if dates is None else dates
     for load in {r["load"] for r in pending}:
@@ -126,4 +129,5 @@ def processed(spark: SparkSession, processed_path: str, root: str, window: int =
     """The enriched table with z-scores and outlier flags from the moments of all dates."""
     rows, moments = read_table(spark, processed_path), read_table(spark, _moments_path(root, window, keys))
     cols = [c.removesuffix("_m2") for c in moments.columns if c.endswith("_m2")]
+    rows = rows.drop(*[f"{c}_{made}" for c in cols for made in ("zscore", "outlier")])
     return outlier_flags(zscores(rows, cols, merged(moments, cols)), cols, threshold)

@@ -83,10 +83,10 @@ def load_csv(spark: SparkSession, path: str, root: str, schema: T.StructType = E
 def refresh_processed(spark: SparkSession, root: str, at_least: int = 1, threshold: float = 3.0, **options) -> DataFrame:
     """Enrich what loads have added to the raw table and check the outcome.
 
-    Overwriting by date makes a repeated run harmless. The result reads the processed table and
-    adds z-scores over all dates.
+    Overwriting by date makes a repeated run harmless. The result reads the processed table with
+    z-scores over all dates of now.
     """
-    incremental.refresh(spark, f"{root}/{RAW}", f"{root}/{PROCESSED}", root, **options)
+    incremental.refresh(spark, f"{root}/{RAW}", f"{root}/{PROCESSED}", root, threshold=threshold, **options)
     setting = {k: v for k, v in options.items() if k in ("window", "keys")}
     return require_rows(incremental.processed(spark, f"{root}/{PROCESSED}", root, threshold=threshold, **setting), at_least)
 
