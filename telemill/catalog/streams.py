@@ -87,8 +87,20 @@ def _episodes(s, p):
 
 
 def _joined(s, p):
-    rows = _finish(s, st.interval_join_stream(_predictions(s, p), _readings(s, p)), "joined")
-    return tidy(rows.filter("machine_id <> 'closing'"))
+    met = _finish(s, st.interval_join_stream(_predictions(s, p), _readings(s, p), folded=True), "joined")
+    # Rounded in the lists, once a row of either side: pairs are many more.
+    met = met.withColumns({name: F.transform(name, _rounding(met.schema[name].dataType.elementType)) for name in ("predictions", "readings")})
+    rows = st.unfolded(met.filter("machine_id <> 'closing'"))
+    return rows.withColumn("prediction_time", F.col("prediction_time").cast("timestamp_ntz"))
+
+
+def _rounding(row: T.StructType):
+    """Gives a list's rows the doubles that ``tidy`` gives a table's."""
+
+    def field(x, f):
+        return (F.round(x[f.name], 6) + F.lit(0.0) if isinstance(f.dataType, T.DoubleType) else x[f.name]).alias(f.name)
+
+    return lambda x: F.struct(*[field(x, f) for f in row.fields])
 
 
 def _scored(s, p):

@@ -133,12 +133,17 @@ def rolling_rate(predictions: DataFrame, width: str = "1 hour", step: str = "1 m
     )
 
 
-def interval_join_stream(predictions: DataFrame, readings: DataFrame, tolerance_s: int = TOLERANCE_S) -> DataFrame:
+def interval_join_stream(predictions: DataFrame, readings: DataFrame, tolerance_s: int = TOLERANCE_S, folded: bool = False) -> DataFrame:
     """Predictions with the readings near them, unmatched ones included.
 
     Both streams need watermarks. The time bucket in the key spreads one busy
     machine over all state partitions; a pair meets in the prediction's bucket.
+    ``folded`` leaves the rows of a bucket together as lists, which ``unfolded``
+    turns into the same rows: state and what is landed then grow with the
+    streams, not with the pairs, but a bucket waits until the watermark has passed it.
     """
+    if folded:
+        return _met_buckets(predictions, readings, tolerance_s)
     tol, width = tolerance_s * SECOND, 2 * tolerance_s * SECOND
     left = predictions.withColumn("_bk", F.floor(micros(predictions, "timestamp") / width))
     us = micros(readings, "timestamp")
@@ -153,3 +158,42 @@ def interval_join_stream(predictions: DataFrame, readings: DataFrame, tolerance_
     return joined.select(
         "machine_id", F.col("timestamp").alias("prediction_time"), "is_anomaly", "anomaly_score", "confidence", *SENSORS
     )
+
+
+def _met_buckets(predictions: DataFrame, readings: DataFrame, tolerance_s: int) -> DataFrame:
+    """(machine_id, predictions, readings): the lists of a bucket; those of all readings within reach of it, if any."""
+    gap, width = F.expr(f"INTERVAL {tolerance_s} SECONDS"), f"{2 * tolerance_s} seconds"
+    # A reading reaches the two buckets whose ends lie a tolerance before those of its windows.
+    around = F.window("timestamp", f"{4 * tolerance_s} seconds", width, f"{tolerance_s} seconds")
+    left = (
+        predictions.groupBy("machine_id", F.window("timestamp", width).alias("_w"))
+        .agg(F.collect_list(F.struct("timestamp", "is_anomaly", "anomaly_score", "confidence")).alias("predictions"))
+        .select("machine_id", "predictions", F.window_time("_w").alias("_end"), F.col("_w.end").alias("_bk"))
+    )
+    right = (
+        readings.groupBy(F.col("machine_id").alias("_rk"), around.alias("_rw"))
+        .agg(F.collect_list(F.struct("timestamp", *SENSORS)).alias("readings"))
+        .select("_rk", "readings", F.window_time("_rw").alias("_rend"), (F.col("_rw.end") - gap).alias("_rbk"))
+    )
+    # The last two say the same as the one before, in the columns that carry the watermarks.
+    same = (
+        (F.col("machine_id") == F.col("_rk")) & (F.col("_bk") == F.col("_rbk"))
+        & (F.col("_end") >= F.col("_rend") - gap) & (F.col("_end") <= F.col("_rend") - gap)
+    )
+    return left.join(right, same, "leftOuter").select("machine_id", "predictions", "readings")
+
+
+def unfolded(buckets: DataFrame, tolerance_s: int = TOLERANCE_S) -> DataFrame:
+    """The rows of the join from a table of its landed buckets."""
+    gap = F.expr(f"INTERVAL {tolerance_s} SECONDS")
+
+    def near(reading: Column) -> Column:
+        return F.col("_p.timestamp").between(reading["timestamp"] - gap, reading["timestamp"] + gap)
+
+    each = buckets.select("machine_id", F.explode("predictions").alias("_p"), "readings")
+    matched = each.select("machine_id", "_p", F.explode("readings").alias("_r")).filter(near(F.col("_r")))
+    alone = each.filter(F.col("readings").isNull() | ~F.exists("readings", near))
+    columns = ["machine_id", F.col("_p.timestamp").alias("prediction_time"), "_p.is_anomaly", "_p.anomaly_score", "_p.confidence"]
+    return matched.select(*columns, *[f"_r.{c}" for c in SENSORS]).unionByName(
+        alone.select(*columns, *[F.lit(None).cast("double").alias(c) for c in SENSORS])
+    )

@@ -207,6 +207,38 @@ def test_stream_join_equals_batch_join(spark, sf_dir, scored_lines):
     assert same(got, want)
 
 
+def test_folded_stream_join_equals_batch_join(spark, sf_dir, scored_lines):
+    readings = raw(spark, sf_dir).drop("event_date")
+    path = scratch(spark, "readings")
+    arrive(readings, path, 2)
+    buckets = st.interval_join_stream(prediction_stream(spark, scored_lines, None), st.event_stream(st.line_stream(spark, path, 1)), folded=True)
+    got = st.unfolded(run(spark, buckets)).filter("machine_id <> 'closing'")
+    p = predictions(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    e = readings.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    want = interval_join(p, e, list(SENSORS)).withColumnRenamed("timestamp", "prediction_time").drop("event_date")
+    assert same(got, want)
+
+
+@pytest.mark.parametrize("tolerance", [5, 3])
+def test_folded_join_lands_buckets_and_not_pairs(spark, tolerance):
+    base, copies = datetime(2024, 1, 1), 40
+    edges = [0, 4.999999, 5, 5.000001, 9.999999, 10, 14.999999, 15, 15.000001, 20, 30, 36, 70, -5, -5.000001]
+    p = [(m, base + timedelta(seconds=t), k % 2 == 0, float(k), None) for k, t in enumerate(edges) for m in ("M1", "M2", None)]
+    e = [(str(k), m, base + timedelta(seconds=t), *[float(k)] * 6, False) for k, t in enumerate(edges[:-4]) for m in ("M1", None)]
+    p, e = spark.createDataFrame(p, PREDICTION), spark.createDataFrame(e, EVENT_SCHEMA)
+    p, e = (t.crossJoin(spark.range(copies)).drop("id") for t in (p, e))
+    paths = scratch(spark, "predictions"), scratch(spark, "readings")
+    arrive(p, paths[0], 3)
+    arrive(e, paths[1], 2)
+    buckets = st.interval_join_stream(
+        prediction_stream(spark, paths[0], 1), st.event_stream(st.line_stream(spark, paths[1], 1)), tolerance, folded=True
+    )
+    landed = run(spark, buckets).filter("machine_id IS NULL OR machine_id <> 'closing'")
+    want = interval_join(p, e, list(SENSORS), tolerance_s=tolerance).withColumnRenamed("timestamp", "prediction_time")
+    assert same(st.unfolded(landed, tolerance), want)
+    assert landed.count() <= 3 * len(edges) < want.count() / 100
+
+
 def test_restarted_ingest_takes_each_event_once(spark):
     source, root, checkpoint = scratch(spark, "in"), scratch(spark, "root"), scratch(spark, "cp")
     lines(events(spark)).write.mode("append").text(source)
