@@ -20,6 +20,8 @@ gives no rows. Only the id and text columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,7 @@ from telemill.llm.tokens import SPACE, proven
 
 BLOCK = 16 << 20  # characters of text per block, about
 LARGE = 4096  # links of a group from which on they are counted by distinct ids
+NEAR = 8  # ends of a run that are compared one by one before windows are
 SHIFT = 32  # a pair of ids as one number: the first above, the second below
 
 
@@ -42,9 +45,14 @@ class RankTokenizer:
 
     def __init__(self, path: str, pattern: str):
         ranks = read_ranks(path)
-        self.encode = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        # The one special string is never allowed for; without any, the library would look for the empty one everywhere.
+        own = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPACE * 2: len(ranks)})
+        self.ids = partial(own.encode_to_numpy, disallowed_special=())
         self.bytes = sorted(ranks, key=ranks.get)
 
+    def encode(self, text: str) -> list[int]:
+        return self.ids(text).tolist()
+
 
 class PieceTokenizer:
     """A sentence-piece model that leaves texts as they are, but for writing blanks as ``SPACE``, and puts a blank before them."""
@@ -55,6 +63,9 @@ class PieceTokenizer:
         names = [(i, sp.id_to_piece(i)) for i in range(sp.get_piece_size())]
         self.bytes = [bytes([int(name[3:-1], 16)]) if sp.is_byte(i) else name.replace(SPACE, " ").encode() for i, name in names]
 
+    def ids(self, text: str) -> np.ndarray:
+        return np.fromiter(self.encode(text), np.int64)
+
 
 class Pair:
     """Two tokenizers with the byte lengths and the written forms of their tokens."""
@@ -63,7 +74,7 @@ class Pair:
         self.sides = (first, second)
         self.sizes = [np.array(list(map(len, side.bytes)), np.int64) for side in self.sides]
         self.ids = max(map(len, self.sizes))
-        self.written = [f"{i}{mark}" for mark in ",|;" for i in range(self.ids)]
+        self.written = np.array([f"{i}{mark}" for mark in ",|;" for i in range(self.ids)], np.bytes_)  # zeros fill up shorter ones
 
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Both sides' ids and ends; none if either side's bytes aren't the blank and the text.
@@ -72,7 +83,7 @@ class Pair:
         second changes is its own sign for a blank.
         """
         if text and SPACE not in text:
-            a, b = (np.array(side.encode(t), np.int64) for side, t in zip(self.sides, (" " + text, text)))
+            a, b = (side.ids(t).astype(np.int64) for side, t in zip(self.sides, (" " + text, text)))
             ends_a, ends_b = self.sizes[0][a].cumsum(), self.sizes[1][b].cumsum()
             size = len(text.encode()) + 1
             if ends_a[-1] == size and ends_b[-1] == size:
@@ -85,8 +96,12 @@ def pair_of(ranks: str, pattern: str, pieces: str) -> Pair:
 
 
 def run_length(a: list[int], i: int, b: list[int], j: int) -> int:
-    """How many ends agree one by one from (i, j) on, by exponential probing."""
-    n, step = 0, 1
+    """How many ends agree one by one from (i, j) on, by exponential probing beyond the first few."""
+    n, step = 0, NEAR
+    for x, y in zip(a[i : i + NEAR], b[j : j + NEAR]):
+        if x != y:
+            return n
+        n += 1
     while (window := a[i + n : i + n + step]) and window == b[j + n : j + n + step]:
         n += len(window)
         step *= 2
@@ -121,7 +136,7 @@ def stretches(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int,
 
 def groups_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First tokens and numbers of tokens, of either side, of every group."""
-    found = np.array(list(stretches(ends_a.tolist(), ends_b.tolist())), np.int64).reshape(-1, 5)
+    found = np.fromiter(chain.from_iterable(stretches(ends_a.tolist(), ends_b.tolist())), np.int64).reshape(-1, 5)
     i, j, n, m, single = found.T
     runs = np.where(single, n, 1)
     at = np.repeat(np.arange(len(runs)), runs)
@@ -138,7 +153,7 @@ def links(own: Pair, text: str) -> tuple[int, int, np.ndarray, np.ndarray, int,
     number_a, number_b = np.arange(len(a)), np.arange(len(b))
     codes[number_a + j[group_a]] = a + own.ids * (number_a == (i + n - 1)[group_a])
     codes[number_b + (i + n)[group_b]] = b + 2 * own.ids * (number_b == (j + m - 1)[group_b])
-    written = "".join(map(own.written.__getitem__, codes.tolist()))[:-1]
+    written = own.written[codes].tobytes().translate(None, b"\0")[:-1].decode()
 
     size = n * m
     few = size <= LARGE

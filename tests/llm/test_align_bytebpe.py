@@ -115,6 +115,37 @@ def test_runs_are_jumped():
     assert a.seen < 60
 
 
+def test_short_runs_take_one_look():
+    class Looked(list):
+        seen = 0
+
+        def __getitem__(self, k):
+            self.seen += 1
+            return super().__getitem__(k)
+
+    for n in range(align.NEAR):
+        a, b = Looked([*range(n), 50, 60, 70]), [*range(n), 55, 60, 70]
+        assert align.run_length(a, 0, b, 0) == n and a.seen == 1
+    for n in range(40):
+        assert align.run_length([*range(n), 50], 0, [*range(n), 55, 60], 0) == n == align.run_length([*range(n)], 0, [*range(n)], 0)
+
+
+def test_sides_give_arrays_and_no_special_tokens():
+    own = align.pair_of(RANKS, P.PATTERN, PIECES)
+    for text in ("", " a", "x" + "▁" * 5 + " <s></s><unk><|endoftext|>", "東京 1 2\n"):
+        for side, want in zip(own.sides, (BPE.encode(text, add_special_tokens=False).ids, SP.encode(text))):
+            found = side.ids(text)
+            assert isinstance(found, np.ndarray) and found.tolist() == want and (found < len(side.bytes)).all()
+
+
+def test_groups_are_written_in_order():
+    own = align.pair_of(RANKS, P.PATTERN, PIECES)
+    for text in ("one two, three", "東京" * 40 + " x", "a"):
+        a, b = BPE.encode(" " + text, add_special_tokens=False).ids, SP.encode(text)
+        groups = shared(a, b, own.sizes[0], own.sizes[1])
+        assert align.links(own, text)[5] == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+
+
 @given(ODD)
 @settings(max_examples=400, deadline=None)
 def test_both_sides_encode_like_their_libraries(text):
